@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quadrivium.session import ship_package
+
 BROADCAST_BYTES = 64 << 20
 CELL_BYTES = 64 << 20
 LEFT_TILE = 1024
@@ -388,6 +390,7 @@ def fold_pairs(
     cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
     """Fold the distances of every left row to every right row; keys must be unique per side."""
+    ship_package(left.sparkSession)
     left = _narrow(left, left_key, left_vector, None, "left")
     right = _narrow(right, right_key, right_vector, right_payload, "right")
     types = [left.schema["left_id"].dataType, right.schema["right_id"].dataType, right.schema["right_payload"].dataType]

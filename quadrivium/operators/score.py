@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from quadrivium import constants as C
 from quadrivium.functions import text
+from quadrivium.session import ship_package
 
 
 def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType) -> DataFrame:
@@ -21,6 +22,7 @@ def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame],
     When a batch fails its rows are tried one by one; a failing row is kept with its input values,
     nulls for the new columns and the message in ``error``.
     """
+    ship_package(df.sparkSession)
     out = T.StructType([*schema.fields, T.StructField("error", T.StringType())])
     names = [f.name for f in schema.fields]
 
@@ -41,6 +43,7 @@ def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame],
 
 def score(df: DataFrame, make_scorer: Callable[[], Callable[[pd.DataFrame], pd.Series]], column: str, data_type: T.DataType) -> DataFrame:
     """Add ``column`` from a scorer that is built once per partition (a model client, for instance)."""
+    ship_package(df.sparkSession)
     out = T.StructType([*df.schema.fields, T.StructField(column, data_type)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

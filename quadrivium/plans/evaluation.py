@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrivium.functions import replies, text
+from quadrivium.session import ship_package
 
 MAX_ORDER = 4
 # Metrics a new model must not lose on.
@@ -145,6 +146,8 @@ def rouge_l(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
 
     Tokens are made in the JVM; only the subsequence search runs in Python, batch by batch.
     """
+    ship_package(df.sparkSession)
+
     def sentences(column: str):
         lines = F.split(column, "\n") if summary else F.array(F.col(column))
         return F.transform(lines, text.words)

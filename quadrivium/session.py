@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="quadrivium-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per Spark context.
+
+    Needed wherever workers run package code and the cluster image does not contain it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_quadrivium_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="quadrivium-package-")) / "quadrivium.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._quadrivium_shipped = True
