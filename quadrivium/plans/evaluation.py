@@ -164,11 +164,12 @@ def rouge_l(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
     return tokens.select("key", score("r", "p").alias("rouge_l"))
 
 
-def mean_metrics(df: DataFrame, key: str) -> DataFrame:
+def mean_metrics(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
     """(metric, value): means of the overlap scores over all pairs."""
+    longest = "rouge_l_sum/mean" if summary else "rouge_l/mean"
     parts = [
         bleu(df, key).agg(F.avg("bleu").alias("value")).select(F.lit("bleu/mean").alias("metric"), "value"),
-        rouge_l(df, key).agg(F.avg("rouge_l").alias("value")).select(F.lit("rouge_l_sum/mean").alias("metric"), "value"),
+        rouge_l(df, key, summary).agg(F.avg("rouge_l").alias("value")).select(F.lit(longest).alias("metric"), "value"),
         rouge_n(df, key).groupBy("n").agg(F.avg("fmeasure").alias("value")).select(
             F.concat(F.lit("rouge_"), F.col("n").cast("string"), F.lit("/mean")).alias("metric"), "value"
         ),
