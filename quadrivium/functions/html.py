@@ -17,18 +17,22 @@ ENTITIES = {
     "&amp;": "&",
 }
 
+_NUMERIC = "&#([xX][0-9a-fA-F]{1,5}|[0-9]{1,6});"
+
 
 def decode_entities(text: Column) -> Column:
     """Numeric and common named character references; '&amp;' last, so nothing is decoded twice."""
-    chunks = F.split(text, r"(?=&#[0-9]{1,7};)")
+    chunks = F.split(text, f"(?={_NUMERIC})")
 
     def numeric(chunk: Column) -> Column:
-        code = F.regexp_extract(chunk, r"^&#([0-9]{1,7});", 1)
-        rest = F.regexp_replace(chunk, r"^&#[0-9]{1,7};", "")
-        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("int")), 8, "0")), "UTF-32")
-        return F.when(code == "", chunk).otherwise(F.concat(char, rest))
-
-    out = F.when(text.rlike(r"&#[0-9]{1,7};"), F.array_join(F.transform(chunks, numeric), "")).otherwise(text)
+        body = F.regexp_extract(chunk, f"^{_NUMERIC}", 1)
+        rest = F.regexp_replace(chunk, f"^{_NUMERIC}", "")
+        is_hex = F.lower(F.left(body, F.lit(1))) == "x"
+        code = F.when(is_hex, F.substring(body, 2, 6)).otherwise(F.hex(body.try_cast("int")))
+        char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+        return F.when(body == "", chunk).otherwise(F.concat(char, rest))
+
+    out = F.when(text.rlike(_NUMERIC), F.array_join(F.transform(chunks, numeric), "")).otherwise(text)
     for name, char in ENTITIES.items():
         out = F.replace(out, F.lit(name), F.lit(char))
     return out

@@ -26,6 +26,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a table of fewer files than cores before work that is heavy per row.
+
+    A file holds few row groups and a row group is read by one task.  Tables of many files, which
+    is what large tables are, come back unchanged and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and forget how it was made.
 

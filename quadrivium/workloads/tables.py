@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrivium import constants as C
+from quadrivium.session import spread
 
 VECTOR_WIDTH = 64
 
 
+TEXT_TABLES = ("documents", "pages")  # heavy per row: regular expressions over whole texts
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(table) if name in TEXT_TABLES else table
 
 
 def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
