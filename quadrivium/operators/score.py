@@ -70,7 +70,7 @@ def lexicon_sentiment(df: DataFrame, key: str, column: str, lexicon: DataFrame)
     joined = df.select(F.col(key).alias("key")).join(found, "key", "left")
     return joined.select(
         F.col("key").alias(key),
-        F.coalesce(F.least(step, F.lit(5)), F.lit(3)).cast("int").alias("sentiment_score"),
+        F.when(F.col("mean").isNull(), 3).otherwise(F.least(step, F.lit(5))).cast("int").alias("sentiment_score"),
     )
 
 

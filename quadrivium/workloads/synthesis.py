@@ -196,7 +196,7 @@ SQL = {
         words AS (SELECT doc_id, unnest({t.sql_words('text')}) AS word FROM documents),
         means AS (SELECT doc_id, CAST(sum(CAST(valence * 10 AS BIGINT)) AS DOUBLE) / 10 / count(*) AS mean
                   FROM words JOIN lexicon USING (word) GROUP BY doc_id)
-        SELECT d.doc_id, CAST(coalesce(least(floor((mean + 1) * 2.5) + 1, 5), 3) AS INT) AS sentiment_score
+        SELECT d.doc_id, CAST(CASE WHEN mean IS NULL THEN 3 ELSE least(floor((mean + 1) * 2.5) + 1, 5) END AS INT) AS sentiment_score
         FROM documents d LEFT JOIN means m ON d.doc_id = m.doc_id""",
     "sentiment_replies": """SELECT doc_id, CAST(CASE WHEN toxic = 0 AND doc_id % 7 BETWEEN 1 AND 5 THEN doc_id % 7 END AS INT) AS sentiment_score
         FROM labels""",
