@@ -96,7 +96,7 @@ def dbscan(
     )
     core = marked.where("is_core").select("key", "vector", "copies")
     links = pairs.fold_pairs(
-        core, core, pairs.LinkForest(eps), left_key="key", right_key="key", left_vector="vector",
+        core, core, pairs.Links(eps), left_key="key", right_key="key", left_vector="vector",
         right_vector="vector", **sizes
     )
     named = cut_lineage(core.join(connected_labels(core.select("key"), links), "key"))

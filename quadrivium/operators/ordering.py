@@ -20,29 +20,32 @@ def running_totals(
     order: list[str],
     values: dict[str, Column],
     inclusive: bool = True,
+    few_buckets: bool = False,
 ) -> DataFrame:
     """Running sums in ``partition`` order, computed bucket by bucket.
 
     ``bucket`` must rise with ``order`` inside a partition.  Each bucket is summed on its own and
     shifted by the total of the buckets before it, so one large partition spreads over many tasks;
-    only one row per bucket meets in the small window over bucket totals.
+    only one row per bucket meets in the small window over bucket totals.  Window and join share
+    one key column, so the rows are shuffled once.  ``few_buckets`` says that the number of buckets
+    is bounded by the caller; their totals are then broadcast.
     """
-    keys = [*partition, bucket]
-    work = df.select("*", *[value.alias(f"_v_{name}") for name, value in values.items()])
-    totals = work.groupBy(*keys).agg(*[F.sum(f"_v_{name}").alias(f"_t_{name}") for name in values])
-    before = Window.partitionBy(*partition).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    key = F.struct(*partition, bucket)
+    work = df.select("*", key.alias("_key"), *[value.alias(f"_v_{name}") for name, value in values.items()])
+    totals = work.groupBy("_key").agg(*[F.sum(f"_v_{name}").alias(f"_t_{name}") for name in values])
+    groups = [F.col("_key").getField(c) for c in partition] or [F.lit(0)]
+    before = (
+        Window.partitionBy(*groups).orderBy(F.col("_key").getField(bucket)).rowsBetween(Window.unboundedPreceding, -1)
+    )
     carry = totals.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_c_{name}") for name in values],
+        "_key", *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_c_{name}") for name in values]
     )
     end = Window.currentRow if inclusive else -1
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    inside = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     summed = work.select(
-        *df.columns,
-        *[F.coalesce(F.sum(f"_v_{name}").over(inside), F.lit(0)).alias(name) for name in values],
+        "_key", *df.columns, *[F.coalesce(F.sum(f"_v_{name}").over(inside), F.lit(0)).alias(name) for name in values]
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    joined = summed.join(carry, on)
+    joined = summed.join(F.broadcast(carry) if few_buckets else carry, "_key")
     return joined.select(*df.columns, *[(F.col(name) + F.col(f"_c_{name}")).alias(name) for name in values])
 
 
@@ -52,12 +55,12 @@ def exact_position(df: DataFrame, key: str, seed: int | str, name: str = "positi
     The first hex ``digits`` of the digest are equal-sized, ordered buckets known without sampling;
     4096 of them by default, more digits for larger tables.
     """
-    work = df.withColumn("_digest", digest(key, seed)).withColumn("_all", F.lit(0))
-    work = work.withColumn("_bucket", F.left("_digest", F.lit(digits)))
+    work = df.withColumn("_digest", digest(key, seed)).withColumn("_bucket", F.left("_digest", F.lit(digits)))
     out = running_totals(
-        work, partition=["_all"], bucket="_bucket", order=["_digest", key], values={name: F.lit(1).cast("long")}
+        work, partition=[], bucket="_bucket", order=["_digest", key], values={name: F.lit(1).cast("long")},
+        few_buckets=digits <= 4,  # at most 65536 rows of two small values
     )
-    return out.drop("_digest", "_all", "_bucket")
+    return out.drop("_digest", "_bucket")
 
 
 def pick(df: DataFrame, column: str, count: int, seed: int | str) -> DataFrame:

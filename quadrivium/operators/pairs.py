@@ -6,7 +6,8 @@ together give the same result, and the measured sizes decide:
 
 * right side small: broadcast it, map over the left side, no shuffle at all;
 * left side small: broadcast it, map over the right side, one partial state per partition;
-* neither: hash both sides into groups of bounded size and co-group each pair of groups.
+* neither: cut both sides into groups of bounded size and co-group the pairs of groups; folds with
+  a radius leave out pairs of groups that are too far apart to matter.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quadrivium.functions.vectors import euclidean
 from quadrivium.session import ship_package
 
 BROADCAST_BYTES = 64 << 20
 CELL_BYTES = 64 << 20
 LEFT_TILE = 1024
 RIGHT_TILE = 4096
+MAX_RINGS = 512  # ring limits travel as literals; fuller rings are split by hash
 
 
 @dataclass
@@ -89,7 +92,12 @@ def within(left: Block, right: Block, eps: float) -> np.ndarray:
 
 
 class Fold:
-    """State per left tile; subclasses say how tiles update it and how partial rows merge."""
+    """State per left tile; subclasses say how tiles update it and how partial rows merge.
+
+    ``radius``: pairs farther apart than this Euclidean distance do not matter (None: all do).
+    """
+
+    radius: float | None = None
 
     def fields(self, left_type, right_type, payload_type) -> list[T.StructField]:
         raise NotImplementedError
@@ -195,7 +203,7 @@ class NeighbourCount(Fold):
     """Weighted number of right rows within ``eps``."""
 
     def __init__(self, eps: float):
-        self.eps = eps
+        self.eps = self.radius = eps
 
     def fields(self, left_type, right_type, payload_type):
         return [T.StructField("left_id", left_type), T.StructField("neighbours", T.LongType())]
@@ -217,7 +225,7 @@ class LowestLabel(Fold):
     """Smallest ``payload`` of the right rows within ``eps``; left rows without one give no row."""
 
     def __init__(self, eps: float):
-        self.eps = eps
+        self.eps = self.radius = eps
 
     def fields(self, left_type, right_type, payload_type):
         return [T.StructField("left_id", left_type), T.StructField("label", payload_type)]
@@ -281,24 +289,23 @@ class NearestLabel(Fold):
         return partial.groupBy("left_id").agg(nearest.alias("n")).select("left_id", "n.*")
 
 
-class LinkForest(Fold):
-    """Links that connect rows within ``eps``: a spanning forest per tile pair instead of all pairs.
+class Links(Fold):
+    """Links (row, smallest row of its component so far) that connect rows within ``eps``.
 
-    Joining the forests of all tile pairs connects exactly the rows that all pairs would connect.
+    Each task joins the rows it has seen into components and gives one link per row, not one per
+    pair.  The links of all tasks together connect exactly the rows that all pairs would connect.
     """
 
     def __init__(self, eps: float):
-        self.eps = eps
+        self.eps = self.radius = eps
 
     def fields(self, left_type, right_type, payload_type):
         return [T.StructField("left_id", left_type), T.StructField("right_id", right_type)]
 
     def start(self, left):
-        return {}, []
-
-    def update(self, state, left, right):
-        parent, links = state
+        return {}
 
+    def update(self, parent, left, right):
         def root(x):
             while parent.setdefault(x, x) != x:
                 parent[x] = parent[parent[x]]
@@ -306,34 +313,32 @@ class LinkForest(Fold):
             return x
 
         near = within(left, right, self.eps)
-        fresh_right = np.ones(near.shape[1], bool)
-        fresh_left = np.ones(near.shape[0], bool)
+        fresh_left, fresh_right = np.ones(near.shape[0], bool), np.ones(near.shape[1], bool)
         for seed in range(near.shape[0]):
-            if not fresh_left[seed]:
-                continue
+            stack = [(seed, True)] if fresh_left[seed] else []
             fresh_left[seed] = False
-            stack = [(seed, True)]
             while stack:
                 at, is_left = stack.pop()
-                if is_left:
-                    reached = np.nonzero(near[at] & fresh_right)[0]
-                    fresh_right[reached] = False
-                else:
-                    reached = np.nonzero(near[:, at] & fresh_left)[0]
-                    fresh_left[reached] = False
+                line, fresh = (near[at], fresh_right) if is_left else (near[:, at], fresh_left)
+                reached = np.nonzero(line & fresh)[0]
+                fresh[reached] = False
+                own = (left if is_left else right).ids[at]
                 for other in reached:
-                    l, r = (at, other) if is_left else (other, at)
-                    a, b = left.ids[l], right.ids[r]
-                    ra, rb = root(a), root(b)
-                    if ra != rb:
-                        parent[rb] = ra
-                        links.append((a, b))
+                    a, b = root(own), root((right if is_left else left).ids[other])
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
                     stack.append((other, not is_left))
-        return parent, links
-
-    def finish(self, state, left):
-        _, links = state
-        both = np.array(links, dtype=object).reshape(-1, 2)
+        return parent
+
+    def finish(self, parent, left):
+        found = []
+        for row in parent:
+            top = row
+            while parent[top] != top:
+                top = parent[top]
+            if top != row:
+                found.append((row, top))
+        both = np.array(found, dtype=object).reshape(-1, 2)
         return [both[:, 0], both[:, 1]]
 
     def merge(self, partial):
@@ -405,7 +410,11 @@ def fold_pairs(
     if n_left * row_bytes <= broadcast_bytes:
         return fold.merge(_map_right(left, right, fold, schema))
     rows = max(1, cell_bytes // row_bytes)
-    return fold.merge(_cells(left, right, fold, schema, -(-n_left // rows), -(-n_right // rows)))
+    if fold.radius is None:
+        a, b, cell = _hashed(left, right, -(-n_left // rows), -(-n_right // rows))
+    else:
+        a, b, cell = _ringed(left, right, fold.radius, rows, n_left)
+    return fold.merge(_cells(a, b, cell, fold, schema))
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
@@ -452,8 +461,8 @@ def _map_right(left, right, fold, schema):
     return right.mapInArrow(run, schema)
 
 
-def _cells(left, right, fold, schema, left_groups, right_groups):
-    out = _arrow_schema(schema)
+def _hashed(left, right, left_groups, right_groups):
+    """Equal hash groups on both sides; every group meets every group of the other side."""
 
     def grouped(df, side, own, other, own_name, other_name):
         return df.withColumn(own_name, F.pmod(F.xxhash64(f"{side}_id"), F.lit(own))).withColumn(
@@ -462,6 +471,55 @@ def _cells(left, right, fold, schema, left_groups, right_groups):
 
     a = grouped(left, "left", left_groups, right_groups, "left_group", "right_group")
     b = grouped(right, "right", right_groups, left_groups, "right_group", "left_group")
+    return a, b, ["left_group", "right_group"]
+
+
+def _ringed(left, right, radius, rows, n_left):
+    """Groups by distance to one pivot row; only rings closer than ``radius`` meet.
+
+    By the triangle inequality two rows within ``radius`` of each other differ by no more than that
+    in their distance to the pivot.  Rings hold about ``rows`` rows each; a ring that holds more,
+    because many rows are equally far from the pivot, is split by hash.
+    """
+    pivot = [float(x) for x in right.agg(F.min_by("right_vector", "right_id")).first()[0]]
+    center = F.array(*[F.lit(x) for x in pivot])
+    left = left.withColumn("_far", euclidean("left_vector", center))
+    right = right.withColumn("_far", euclidean("right_vector", center))
+    rings = min(MAX_RINGS, max(1, -(-n_left // rows)))
+    cuts = sorted(set(left.approxQuantile("_far", [i / rings for i in range(1, rings)], 0.25 / rings))) if rings > 1 else []
+    bounds = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<double>")
+
+    def ring_of(value):
+        return F.size(F.filter(bounds, lambda c: c <= value))
+
+    def splits(df):
+        """Number of hash splits per ring, from one count per ring."""
+        counts = {r["ring"]: r["count"] for r in df.groupBy(ring_of(F.col("_far")).alias("ring")).count().collect()}
+        return [max(1, -(-counts.get(i, 0) // rows)) for i in range(len(cuts) + 1)]
+
+    left_splits, right_splits = splits(left), splits(right)
+    slack = radius + 1e-6 * (1.0 + radius)
+
+    def placed(df, side, own, other_splits, names):
+        own_count = F.element_at(F.array(*[F.lit(x) for x in own]), F.col(names[0]) + 1)
+        other_count = F.element_at(F.array(*[F.lit(x) for x in other_splits]), F.col(names[2]) + 1)
+        reach = F.sequence(ring_of(F.col("_far") - slack), ring_of(F.col("_far") + slack))
+        return (
+            df.withColumn(names[0], ring_of(F.col("_far")))
+            .withColumn(names[1], F.pmod(F.xxhash64(f"{side}_id"), own_count).cast("int"))
+            .withColumn(names[2], F.explode(reach))
+            .withColumn(names[3], F.explode(F.sequence(F.lit(0), other_count - 1)))
+            .drop("_far")
+        )
+
+    a = placed(left, "left", left_splits, right_splits, ["left_ring", "left_part", "right_ring", "right_part"])
+    b = placed(right, "right", right_splits, left_splits, ["right_ring", "right_part", "left_ring", "left_part"])
+    return a, b, ["left_ring", "left_part", "right_ring", "right_part"]
+
+
+def _cells(left, right, cell, fold, schema):
+    """Co-group the groups that meet and fold each pair of groups in one task."""
+    out = _arrow_schema(schema)
 
     def run(one: pa.Table, two: pa.Table) -> pa.Table:
         if one.num_rows == 0 or two.num_rows == 0:
@@ -475,8 +533,7 @@ def _cells(left, right, fold, schema, left_groups, right_groups):
             parts.append(_emit(fold.finish(state, tile), out))
         return pa.Table.from_batches(parts, schema=out)
 
-    pair = ["left_group", "right_group"]
-    return a.groupBy(*pair).cogroup(b.groupBy(*pair)).applyInArrow(run, schema)
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(run, schema)
 
 
 def distinct_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:

@@ -154,6 +154,7 @@ def property_drift(train: DataFrame, test: DataFrame, column: str, threshold: fl
     summed = running_totals(
         bucketed, partition=["property"], bucket="bucket", order=["value"],
         values={"train_below": F.col("train_rows"), "test_below": F.col("test_rows")},
+        few_buckets=True,  # at most ``buckets`` per property
     )
     gap = F.max_by(F.struct("train_below", "test_below"), "value")
     totals = summed.groupBy("property").agg(gap.alias("t"))

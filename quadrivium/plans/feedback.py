@@ -11,6 +11,7 @@ from quadrivium.functions import text
 from quadrivium.operators.keyed import first_per_key
 from quadrivium.operators.skew import salted_join
 from quadrivium.plans import quality
+from quadrivium.session import cut_lineage
 
 HEADER = ["crn", "course_code", "course_title", "instructor", "term"]
 
@@ -80,12 +81,20 @@ class FeedbackTables:
     counters: DataFrame
 
 
-def ingest_feedback(pages: DataFrame, known: DataFrame | None = None, existing_courses: DataFrame | None = None) -> FeedbackTables:
-    """The whole ingest as lazy frames; ``known`` holds the crns that were loaded before."""
+def ingest_feedback(
+    pages: DataFrame, known: DataFrame | None = None, existing_courses: DataFrame | None = None, materialise: bool = False
+) -> FeedbackTables:
+    """The whole ingest as lazy frames; ``known`` holds the crns that were loaded before.
+
+    ``materialise`` writes the parsed rows to the checkpoint folder first, for callers that use
+    more than one of the frames: the pages are then parsed once.
+    """
     if known is not None:
         ids = known.select(F.col("crn").alias("doc_id")).distinct()
         pages = salted_join(pages, ids, ["doc_id"], ["page_num"], "left_anti")
     raw_courses, raw_reviews = documents_to_tables(parse_pages(pages), existing_courses)
+    if materialise:
+        raw_courses, raw_reviews = cut_lineage(raw_courses), cut_lineage(raw_reviews)
     courses, cleaned = clean_tables(raw_courses, raw_reviews)
     reviews, flagged = quality.neutralise(cleaned, "response")
     return FeedbackTables(

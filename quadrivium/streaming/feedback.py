@@ -38,7 +38,7 @@ def ingest_stream(spark: SparkSession, pages: str, root: str, checkpoint: str) -
     def write(batch: DataFrame, number: int) -> None:
         known = read_table(spark, root, "reviews", number)
         courses = read_table(spark, root, "courses", number)
-        tables = ingest_feedback(batch, known, courses)
+        tables = ingest_feedback(batch, known, courses, materialise=True)
         for name, rows in {"courses": tables.courses, "reviews": tables.reviews, "flagged": tables.flagged_reviews}.items():
             rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
 
