@@ -28,6 +28,7 @@ BROADCAST_BYTES = 64 << 20
 CELL_BYTES = 64 << 20
 LEFT_TILE = 1024
 RIGHT_TILE = 4096
+PAIRS_PER_TASK = 100_000_000
 MAX_RINGS = 512  # ring limits travel as literals; fuller rings are split by hash
 
 
@@ -406,9 +407,9 @@ def fold_pairs(
         raise ValueError(f"vector sizes differ: {dim_left} and {dim_right}")
     row_bytes = 8 * (max(dim_left, dim_right) + 2)
     if n_right * row_bytes <= broadcast_bytes:
-        return _map_left(left, right, fold, schema)
+        return _map_left(_balanced(left, "left_id", n_left * n_right), right, fold, schema)
     if n_left * row_bytes <= broadcast_bytes:
-        return fold.merge(_map_right(left, right, fold, schema))
+        return fold.merge(_map_right(left, _balanced(right, "right_id", n_left * n_right), fold, schema))
     rows = max(1, cell_bytes // row_bytes)
     if fold.radius is None:
         a, b, cell = _hashed(left, right, -(-n_left // rows), -(-n_right // rows))
@@ -417,6 +418,12 @@ def fold_pairs(
     return fold.merge(_cells(a, b, cell, fold, schema))
 
 
+def _balanced(df: DataFrame, key: str, pairs: int) -> DataFrame:
+    """Spread a side that is read from few files when its comparisons fill several tasks."""
+    tasks = min(-(-pairs // PAIRS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks, key) if tasks > 1 and len(df.inputFiles()) < tasks else df
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -66,6 +66,11 @@ def drift_flag(drifted: DataFrame) -> DataFrame:
     return drifted.agg(F.count("*").alias("drifted_rows")).withColumn("data_drift", F.col("drifted_rows") > 0)
 
 
+def detect(train: DataFrame, test: DataFrame, key: str, vector: str, scope: str = "batch", **sizes: int) -> DataFrame:
+    """(key, similarity) of the new vectors inside the band of the training vectors."""
+    return band_drift(min_similarity(train, test, key, vector, **sizes), thresholds(train, key, vector, scope))
+
+
 def append_history(drifted: DataFrame, path: str, run_time) -> None:
     """Append drifted queries with one run time stamp."""
     rows = drifted.select("query", F.col("similarity").alias("distance"), F.lit(run_time).cast("timestamp").alias("timestamp"))
@@ -86,6 +91,12 @@ def trend(history: DataFrame, now: Column, last_detected: Column | None = None)
     return counted.withColumn("trend", F.col("rows_in_window") >= C.DRIFT_MIN_ROWS)
 
 
+def retrain_decision(drifted: DataFrame, history: DataFrame, now: Column, last_detected: Column | None = None) -> DataFrame:
+    """One row (drifted_rows, data_drift, trend, retrain): drift in this run and a trend before it."""
+    flag = drift_flag(drifted).withColumn("trend", trend(history, now, last_detected).select("trend").scalar())
+    return flag.withColumn("retrain", F.col("data_drift") & F.col("trend"))
+
+
 def mean_pair_distance(train: DataFrame, key: str, vector: str, **sizes: int) -> DataFrame:
     """Mean of the full distance matrix, zero diagonal included; copies are weighted."""
     distinct = pairs.distinct_vectors(train, key, vector)

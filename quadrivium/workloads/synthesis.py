@@ -68,14 +68,14 @@ def training_rows(spark, sf):
 
 
 def sample_counts(spark, sf):
-    """orders as recorded runs of one pipeline per clerk priority."""
+    """orders as recorded runs of one series per order priority."""
     runs = t.read(spark, sf, "orders").select(
-        F.col("o_orderpriority").alias("pipeline"), F.col("o_orderkey").alias("run"),
+        F.col("o_orderpriority").alias("series"), F.col("o_orderkey").alias("run"),
         F.when(F.col("o_orderstatus") == "P", F.lit(synthesis.STOP)).otherwise(F.lit(synthesis.GENERATE)).alias("status"),
         (F.floor("o_totalprice") % 200).cast("int").alias("generated"),
     )
-    return synthesis.sample_counts(runs, "pipeline", "run", F.floor(F.col("run") / 1024)).select(
-        "pipeline", "run", "sample_count", "decision"
+    return synthesis.sample_counts(runs, "series", "run", F.floor(F.col("run") / 1024)).select(
+        "series", "run", "sample_count", "decision"
     )
 
 
@@ -178,13 +178,13 @@ SQL = {
     "unique_queries": "SELECT DISTINCT md5(text) AS query_md5 FROM documents",
     "training_rows": t.with_(t.DIALOGUE) + "SELECT query AS question, context, response FROM dialogue",
     "sample_counts": f"""
-        WITH runs AS (SELECT o_orderpriority AS pipeline, o_orderkey AS run,
+        WITH runs AS (SELECT o_orderpriority AS series, o_orderkey AS run,
                 CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(floor(o_totalprice) AS BIGINT) % 200 END AS carried FROM orders),
-        eras AS (SELECT *, coalesce(sum(CASE WHEN carried = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY pipeline ORDER BY run
+        eras AS (SELECT *, coalesce(sum(CASE WHEN carried = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY series ORDER BY run
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS era FROM runs),
-        counts AS (SELECT pipeline, run, coalesce(sum(carried) OVER (PARTITION BY pipeline, era ORDER BY run
+        counts AS (SELECT series, run, coalesce(sum(carried) OVER (PARTITION BY series, era ORDER BY run
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sample_count FROM eras)
-        SELECT pipeline, run, CAST(sample_count AS BIGINT) AS sample_count,
+        SELECT series, run, CAST(sample_count AS BIGINT) AS sample_count,
                CASE WHEN sample_count >= {C.SAMPLE_TARGET} THEN '{synthesis.STOP}' ELSE '{synthesis.GENERATE}' END AS decision FROM counts""",
     "bias_report": t.with_(_SCORES, _REPORT) + "SELECT dimension, key, round(mean, 6) AS mean, round(std, 6) AS std, count FROM report",
     "bias_flagged": t.with_(_SCORES, _REPORT) + "SELECT dimension, key, round(mean, 6) AS mean FROM report WHERE mean > 4 OR mean < 2",

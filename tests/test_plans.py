@@ -247,21 +247,42 @@ def test_seed_questions_and_expansion(spark):
 def test_sample_counts_against_loop(spark):
     rng = random.Random(6)
     rows, want = [], {}
-    for pipeline in ("hot", "cold"):
+    for series in ("hot", "cold"):
         count, prev = 0, None
-        for run in range(600 if pipeline == "hot" else 9):
+        for run in range(600 if series == "hot" else 9):
             if prev is None or prev[0] != synthesis.GENERATE or not prev[1]:
                 count = 0
             else:
                 count += prev[1]
             status = synthesis.STOP if count >= 500 and prev and prev[0] == synthesis.GENERATE else synthesis.GENERATE
             generated = None if status == synthesis.STOP or rng.random() < 0.02 else rng.randint(0, 60)
-            want[(pipeline, run)] = (count, status)
+            want[(series, run)] = (count, status)
             prev = (status, generated)
-            rows.append((pipeline, run, status, generated))
-    frame = spark.createDataFrame(rows, "pipeline string, run int, status string, generated int")
-    out = synthesis.sample_counts(frame, "pipeline", "run", F.floor(F.col("run") / 64)).collect()
-    assert {(r["pipeline"], r["run"]): (r["sample_count"], r["decision"]) for r in out} == want
+            rows.append((series, run, status, generated))
+    frame = spark.createDataFrame(rows, "series string, run int, status string, generated int")
+    out = synthesis.sample_counts(frame, "series", "run", F.floor(F.col("run") / 64)).collect()
+    assert {(r["series"], r["run"]): (r["sample_count"], r["decision"]) for r in out} == want
+
+
+def test_answers_keep_question_attributes(spark):
+    questions = spark.createDataFrame([(1, "Good?", [1.0, 0.0], "b1", "Doe")], "query_id int, query string, query_vector array<double>, query_bucket string, prof_name string")
+    base = spark.createDataFrame([(1, [1.0, 0.0], "Doe", "CS1", "c")], "base_id int, embedding array<double>, faculty_name string, subject_course string, content string")
+    courses = spark.createDataFrame([("7", "Doe", "1")], "crn string, instructor string, course_code string")
+    reviews = spark.createDataFrame([("r", "7", "Q1", "fine")], "review_id string, crn string, question string, response string")
+    rows = synthesis.answer_questions(questions, base, courses, reviews, lambda: (lambda pdf: pdf["prompt"].str.len().astype(str)), dim=2).collect()
+    assert len(rows) == 1 and rows[0]["query_bucket"] == "b1" and rows[0]["prof_name"] == "Doe"
+    assert int(rows[0]["response"]) > len(rows[0]["context"]) > 0
+
+
+def test_retrain_needs_drift_and_trend(spark):
+    history = spark.createDataFrame([("a", 0.1, 1), ("b", 0.1, 2)], "query string, distance double, s int").select("query", "distance", F.timestamp_seconds("s").alias("timestamp"))
+    now = F.timestamp_seconds(F.lit(10))
+    train = frame_of(spark, [(1, 0.1), (1, 0.2), (1, 0.0)])
+    drifted = drift.detect(train, frame_of(spark, [(0.5, 1.0), (1, 0.1)]), "id", "v")
+    assert [r["key"] for r in drifted.collect()] == [0]
+    assert drift.retrain_decision(drifted, history, now).first()["retrain"] is True
+    assert drift.retrain_decision(drifted.limit(0), history, now).first()["retrain"] is False
+    assert drift.retrain_decision(drifted, history.limit(1), now).first()["retrain"] is False
 
 
 def test_generation_cap_and_replies(spark):
