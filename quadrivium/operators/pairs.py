@@ -135,13 +135,18 @@ class Nearest(Fold):
 
     def update(self, state, left, right):
         rows, dists, ids, limit = state
-        matrix = cosine_distance(left, right)
+        by_id = np.argsort(right.ids, kind="stable")
+        matrix = cosine_distance(left, right)[:, by_id]
         if matrix.shape[1] > self.k:
             limit = np.minimum(limit, np.partition(matrix, self.k - 1, axis=1)[:, self.k - 1])
-        r, c = np.nonzero(matrix <= limit[:, None])
+        # fewer than k rows lie below the limit; of those on it (copies, mostly) the k smallest ids will do
+        tied = matrix == limit[:, None]
+        tied &= np.cumsum(tied, axis=1) <= self.k
+        r, c = np.nonzero((matrix < limit[:, None]) | tied)
+        c_ids = right.ids[by_id[c]]
         rows = np.concatenate([rows, r])
         dists = np.concatenate([dists, matrix[r, c]])
-        ids = np.concatenate([ids, right.ids[c].astype(object)])
+        ids = np.concatenate([ids, c_ids.astype(object)])
         order = np.lexsort((_ranks(ids), dists, rows))
         rows, dists, ids = rows[order], dists[order], ids[order]
         place = _place(rows)
