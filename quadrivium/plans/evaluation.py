@@ -137,8 +137,7 @@ def _rouge_l(reference: list[list[str]], candidate: list[list[str]]) -> float:
                 hits += 1
                 left_ref[word] -= 1
                 left_cand[word] -= 1
-    precision, recall = hits / n_cand, hits / n_ref
-    return 2 * precision * recall / (precision + recall) if hits else 0.0
+    return 2.0 * hits / (n_cand + n_ref)
 
 
 def rouge_l(df: DataFrame, key: str, summary: bool = True) -> DataFrame:

@@ -32,10 +32,10 @@ def evaluation_jsonl(spark, sf):
 
 
 def _pairs(spark, sf):
-    """The answer as prediction; question and first half of the answer as reference."""
-    half = F.left("response", F.floor(F.length("response") / 2).cast("int"))
+    """The answer as prediction; the question and the answer with changed words as reference."""
+    changed = F.replace("response", F.lit("en"), F.lit("in"))
     return t.dialogue(spark, sf).select(
-        "id", F.col("response").alias("prediction"), F.concat("query", F.lit("\n"), half).alias("reference")
+        "id", F.col("response").alias("prediction"), F.concat("query", F.lit("\n"), changed).alias("reference")
     )
 
 
@@ -103,7 +103,7 @@ def _split(source: str, key: str) -> str:
 
 _PART = f"CASE WHEN position <= ceil({C.SPLIT_SHARE} * n) THEN 'test' ELSE 'train' END AS part"
 _prompt = "'" + C.INSTRUCTION_PROMPT.replace("'", "''").replace("{query}", "' || query || '").replace("{content}", "' || context || '") + "'"
-_PAIRS = """pairs AS (SELECT id, response AS prediction, query || chr(10) || left(response, CAST(floor(length(response) / 2) AS INT)) AS reference FROM dialogue)"""
+_PAIRS = """pairs AS (SELECT id, response AS prediction, query || chr(10) || replace(response, 'en', 'in') AS reference FROM dialogue)"""
 _GRAMS = f"""tokens AS (SELECT id, {t.sql_words('prediction')} AS p, {t.sql_words('reference')} AS r FROM pairs),
 orders_ AS (SELECT unnest([1, 2, 3, 4]) AS n),
 pg AS (SELECT id, n, g, count(*) AS c FROM (SELECT id, n, unnest(list_transform(range(1, len(p) - n + 2), lambda i: array_to_string(list_slice(p, i, i + n - 1), ' '))) AS g FROM tokens, orders_) GROUP BY ALL),

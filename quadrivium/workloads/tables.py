@@ -11,7 +11,7 @@ from quadrivium.session import spread
 VECTOR_WIDTH = 64
 
 
-TEXT_TABLES = ("documents", "pages")  # heavy per row: regular expressions over whole texts
+TEXT_TABLES = ("documents", "pages", "conversations")  # heavy per row: regular expressions over whole texts
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

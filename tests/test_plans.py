@@ -346,6 +346,42 @@ def test_summary_union(spark):
     assert evaluation.rouge_l(rows, "id").first()["rouge_l"] == pytest.approx(2 * (4 / 10) * (4 / 5) / (4 / 10 + 4 / 5))
 
 
+def py_rouge_sum(p, r):
+    """Union of common words per reference line, clipped by the word counts of both sides."""
+    ref, cand = ([line.split() for line in x.split("\n")] for x in (r, p))
+    n_ref, n_cand = sum(map(len, ref)), sum(map(len, cand))
+    left, right = Counter(w for s in ref for w in s), Counter(w for s in cand for w in s)
+    hits = 0
+    for s in ref:
+        union = set()
+        for c in cand:
+            t, i, j = lcs_table(s, c), len(s), len(c)
+            while i and j:
+                if s[i - 1] == c[j - 1]:
+                    union.add(i - 1)
+                    i, j = i - 1, j - 1
+                elif t[i][j - 1] > t[i - 1][j]:
+                    j -= 1
+                else:
+                    i -= 1
+        for at in sorted(union):
+            if left[s[at]] > 0 and right[s[at]] > 0:
+                hits += 1
+                left[s[at]] -= 1
+                right[s[at]] -= 1
+    return 2 * hits / (n_ref + n_cand) if hits else 0.0
+
+
+def test_summary_score_against_tables(spark):
+    rng = random.Random(12)
+    block = lambda: "\n".join(" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 7))) for _ in range(rng.randint(1, 4)))
+    pairs = [(i, block(), block()) for i in range(80)]
+    frame = spark.createDataFrame(pairs, "id int, prediction string, reference string")
+    got = {r["key"]: r["rouge_l"] for r in evaluation.rouge_l(frame, "id").collect()}
+    for i, p, r in pairs:
+        assert got[i] == pytest.approx(py_rouge_sum(p, r)), (p, r)
+
+
 def py_bleu(p, r, smooth):
     if not p or not r:
         return 0.0
