@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -29,3 +36,29 @@ def blocks_for(df: DataFrame, column: str = "text", size: int = BLOCK_BYTES) ->
     """How many blocks of about ``size`` bytes the column's texts fill (one aggregate of one row)."""
     total = df.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"]
     return max(1, -(-int(total or 0) // size))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name below the shared folder of ``spark.checkpoint.dir``.
+
+    Only a session with a local master may leave that setting out; then a temporary folder is used.
+    """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="run-shared-")
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def text_batches(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = 2000, size: int = 16_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of Arrow batches of at most ``rows`` rows and, beyond one row, about ``size`` bytes of text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            base = ends[at - 1] if at else 0
+            stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, base + size, side="right"))))
+            yield batch.slice(at, stop - at)
+            at = stop

@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quadrivium.llm.exact_dedup import exact_dedup
+from quadrivium.llm.packing import pack_documents
+from quadrivium.llm.token_files import round_trip
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, the default of every tokenizer parameter here."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +24,19 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup}
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op9_token_files": op9_token_files,
+}
 
 SQL = {
     "op3_exact_dedup": """
