@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quadrivium.llm import quality
+from quadrivium.llm.common import held_out
 from quadrivium.llm.exact_dedup import exact_dedup
 from quadrivium.llm.packing import pack_documents
 from quadrivium.llm.token_files import round_trip
@@ -28,6 +31,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id", quality.FOLDS).alias("held_out"), "score", "predicted")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -35,6 +44,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op8_compression_quality": op8_compression_quality,
     "op9_token_files": op9_token_files,
 }
 
