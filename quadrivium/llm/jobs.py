@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrivium.llm import quality
+from quadrivium.llm import byte_bpe, quality
 from quadrivium.llm.common import held_out
 from quadrivium.llm.exact_dedup import exact_dedup
 from quadrivium.llm.packing import pack_documents
@@ -31,6 +31,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -44,6 +48,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_compression_quality": op8_compression_quality,
     "op9_token_files": op9_token_files,
 }
