@@ -10,6 +10,7 @@ from quadrivium.llm.common import held_out
 from quadrivium.llm.exact_dedup import exact_dedup
 from quadrivium.llm.packing import pack_documents
 from quadrivium.llm.token_files import round_trip
+from quadrivium.llm.unigram_counts import count_tokens
 
 
 def vocabulary(name: str) -> str:
@@ -45,12 +46,17 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_compression_quality": op8_compression_quality,
     "op9_token_files": op9_token_files,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL = {
