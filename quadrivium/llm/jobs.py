@@ -9,6 +9,7 @@ from quadrivium.llm import byte_bpe, quality
 from quadrivium.llm.common import held_out
 from quadrivium.llm.exact_dedup import exact_dedup
 from quadrivium.llm.packing import pack_documents
+from quadrivium.llm.secrets import secret_digests
 from quadrivium.llm.token_files import round_trip
 from quadrivium.llm.unigram_counts import count_tokens
 
@@ -36,6 +37,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_linked_secrets": op7_linked_secrets,
     "op8_compression_quality": op8_compression_quality,
     "op9_token_files": op9_token_files,
     "op10_token_counts": op10_token_counts,
