@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quadrivium.llm import byte_bpe, quality
 from quadrivium.llm.common import held_out
+from quadrivium.llm.embedding_dedup import near_vectors
 from quadrivium.llm.exact_dedup import exact_dedup
 from quadrivium.llm.packing import pack_documents
 from quadrivium.llm.secrets import secret_digests
@@ -33,6 +34,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_lattice_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
@@ -58,6 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_lattice_near_vectors": op5_lattice_near_vectors,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_linked_secrets": op7_linked_secrets,
     "op8_compression_quality": op8_compression_quality,
@@ -73,4 +79,16 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(body) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY body)""",
+    "op5_lattice_near_vectors": """
+        WITH RECURSIVE good AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(max(c.n), 0) AS n_links, min(r.b) AS component_id, e.vec_id = min(r.b) AS kept
+        FROM embeddings e JOIN reach r ON r.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id GROUP BY e.vec_id""",
 }
