@@ -9,6 +9,7 @@ from quadrivium.llm import byte_bpe, quality
 from quadrivium.llm.common import held_out
 from quadrivium.llm.embedding_dedup import near_vectors
 from quadrivium.llm.exact_dedup import exact_dedup
+from quadrivium.llm.near_dedup import near_duplicates
 from quadrivium.llm.packing import pack_documents
 from quadrivium.llm.secrets import secret_digests
 from quadrivium.llm.token_files import round_trip
@@ -34,6 +35,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op5_lattice_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), 0.98)
 
@@ -63,6 +68,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_lattice_near_vectors": op5_lattice_near_vectors,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_linked_secrets": op7_linked_secrets,
@@ -79,6 +85,20 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(body) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY body)""",
+    "op4_near_duplicates": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        g AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) > 1 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])
+                                              ELSE ws END) AS gram FROM w),
+        sizes AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+          SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT r.a AS doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.b) AS component_id, r.a = min(r.b) AS kept
+        FROM reach r LEFT JOIN sizes s ON s.doc_id = r.a GROUP BY r.a""",
     "op5_lattice_near_vectors": """
         WITH RECURSIVE good AS (
           SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
