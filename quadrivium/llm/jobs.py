@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrivium.llm import byte_bpe, quality
+from quadrivium.llm.bloom_lm import score_documents
 from quadrivium.llm.common import held_out
 from quadrivium.llm.embedding_dedup import near_vectors
 from quadrivium.llm.exact_dedup import exact_dedup
@@ -31,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op1_bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -66,6 +71,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bloom_language_model": op1_bloom_language_model,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_duplicates": op4_near_duplicates,
