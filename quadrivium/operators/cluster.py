@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from quadrivium import constants as C
 from quadrivium.operators import pairs
-from quadrivium.operators.skew import salted_join
 from quadrivium.session import cut_lineage
 
 NOISE = -1
@@ -34,7 +33,7 @@ def connected_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
     Alternating star contraction: every round points nodes at smaller ones and the number of rounds
     grows with the logarithm of the longest chain.  Minima are partial aggregates and the join back
-    is salted, so a hub with very many links does not land in one task.  Each round is written to
+    is one that adaptive execution splits at a hub with very many links.  Each round is written to
     the checkpoint folder.
     """
     edges = cut_lineage(
@@ -50,10 +49,10 @@ def connected_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = salted_join(both.where("v > u"), low, ["u"], ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = large.where("u <> v").distinct()
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
-        small = salted_join(edges, low, ["u"], ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(small.where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct())
         now = fingerprint(edges)
         if now == seen:
@@ -113,7 +112,7 @@ def dbscan(
     single = labelled.where("copies = 1").drop("copies")
     copied = labelled.where("copies > 1").select("vector", "label", "is_core")
     rows = points.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
-    return single.unionByName(salted_join(rows, copied, ["vector"], ["key"]).select(*single.columns))
+    return single.unionByName(rows.join(copied, "vector").select(*single.columns))
 
 
 def assign_to_clusters(

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from quadrivium import constants as C
 from quadrivium.functions import text
-from quadrivium.operators.skew import salted_join
 from quadrivium.session import ship_package
 
 
@@ -59,13 +58,13 @@ def lexicon_sentiment(df: DataFrame, key: str, column: str, lexicon: DataFrame)
     """(key, sentiment_score): mean word valence of a text in five steps; 3 without a listed word.
 
     ``lexicon`` has one (word, valence) row per word with valence in [-1, 1].  Counts per
-    (key, word) come first, so a word that fills the corpus is joined once per text, and the join
-    is salted by text, so the rows of that word spread over many tasks.  Sums are
+    (key, word) come first, so a word that fills the corpus is joined once per text, and
+    adaptive execution splits the rows of that word.  Sums are
     decimal: a score on the edge of a step does not depend on the order of the rows.
     """
     tokens = df.select(F.col(key).alias("key"), F.explode(text.words(column)).alias("word"))
     counts = tokens.groupBy("key", "word").agg(F.count("*").alias("n"))
-    found = salted_join(counts, lexicon, ["word"], ["key"]).groupBy("key").agg(
+    found = counts.join(lexicon, "word").groupBy("key").agg(
         (F.sum(F.col("valence").cast("decimal(9,6)") * F.col("n")).cast("double") / F.sum("n")).alias("mean")
     )
     step = F.floor((F.col("mean") + 1.0) * 2.5).cast("int") + 1

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from quadrivium.functions import text
 from quadrivium.operators.keyed import first_per_key
-from quadrivium.operators.skew import salted_join
 from quadrivium.plans import quality
 from quadrivium.session import cut_lineage
 
@@ -46,15 +45,13 @@ def documents_to_tables(parsed: DataFrame, existing_courses: DataFrame | None =
     """(courses, reviews) of parsed pages.
 
     The first document of a crn gives the course row.  The header joins the pages before their
-    responses are exploded, salted by page, so one very long document spreads over many tasks.
+    responses are exploded; adaptive execution splits the pages of one very long document.
     """
     heads = document_headers(parsed)
     courses = first_per_key(heads, ["crn"], ["doc_id"]).select(*HEADER)
     if existing_courses is not None:
         courses = courses.join(existing_courses.select("crn").distinct(), "crn", "left_anti")
-    pages = salted_join(
-        parsed.select("doc_id", "page_num", "blocks"), heads.select("doc_id", "crn"), ["doc_id"], ["page_num"]
-    )
+    pages = parsed.select("doc_id", "page_num", "blocks").join(heads.select("doc_id", "crn"), "doc_id")
     questions = pages.select("doc_id", "page_num", "crn", F.posexplode("blocks").alias("q_pos", "block"))
     responses = questions.select(
         "doc_id", "page_num", "crn", "q_pos", F.col("block.question").alias("question"),
@@ -91,7 +88,7 @@ def ingest_feedback(
     """
     if known is not None:
         ids = known.select(F.col("crn").alias("doc_id")).distinct()
-        pages = salted_join(pages, ids, ["doc_id"], ["page_num"], "left_anti")
+        pages = pages.join(ids, "doc_id", "left_anti")
     raw_courses, raw_reviews = documents_to_tables(parse_pages(pages), existing_courses)
     if materialise:
         raw_courses, raw_reviews = cut_lineage(raw_courses), cut_lineage(raw_reviews)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrivium.operators.keyed import append_rows, apply_updates, latest_per_key
-from quadrivium.operators.skew import salted_join
 from quadrivium.sources import schemas
 
 
@@ -26,7 +25,7 @@ def cached_contexts(requests: DataFrame, log: DataFrame) -> tuple[DataFrame, Dat
     A session keeps its first context, also when a later question differs.
     """
     cached = latest_per_session(log).select("session_id", F.col("context").alias("context"), F.lit(True).alias("_hit"))
-    joined = salted_join(requests, cached, ["session_id"], ["query_id"], "left")
+    joined = requests.join(cached, "session_id", "left")
     return joined.where("_hit").drop("_hit"), joined.where("_hit is null").drop("_hit", "context")
 
 

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

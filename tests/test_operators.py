@@ -166,14 +166,6 @@ def test_exact_position_and_picks(spark):
         ordering.pick_exactly(frame.limit(4), "k", 5, 1)
 
 
-def test_salted_join_equals_join(spark):
-    many = spark.createDataFrame([("hot", i) for i in range(300)] + [("x", 1), ("none", 2)], "k string, i int")
-    one = spark.createDataFrame([("hot", "H"), ("x", "X"), ("unused", "U")], "k string, v string")
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        a = sorted(map(tuple, skew.salted_join(many, one, ["k"], ["i"], how).collect()), key=repr)
-        assert a == sorted(map(tuple, many.join(one, "k", how).collect()), key=repr)
-
-
 @pytest.mark.parametrize("limit", [None, 1, 57, 400])
 def test_prefix_within(spark, limit):
     rng = random.Random(2)

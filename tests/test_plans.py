@@ -423,3 +423,41 @@ def test_gate(spark):
     assert evaluation.model_gate(now(0.2, 0.3), best).first()["deploy"] is True
     assert evaluation.model_gate(now(0.9, 0.29), best).first()["deploy"] is False
     assert evaluation.model_gate(now(0.9, 0.9).where("metric <> 'bleu/mean'"), best).first()["deploy"] is False
+
+
+def test_courses_leave_before_the_match_join(spark, corpus):
+    """With a cut, the match join meets at most as many courses per hit as fill the context."""
+    _, _, courses, reviews = corpus
+    frame = spark.createDataFrame(courses, "crn string, instructor string, course_code string")
+    sizes = retrieval._review_sizes(spark.createDataFrame(reviews, "review_id string, crn string, question string, response string"))
+    sized = frame.join(sizes, "crn")
+    limit = 200
+    whole, kept = (retrieval.first_courses(sized, False, n).collect() for n in (None, limit))
+    assert len(kept) < len(whole)
+    for name in {r["faculty_name"] for r in whole}:
+        own = sorted((r for r in whole if r["faculty_name"] == name), key=lambda r: r["crn"])
+        start, want = 0, set()
+        for r in own:
+            if start < limit:
+                want.add(r["crn"])
+            start += r["times"] * (r["review_chars"] + r["n_reviews"])
+        assert {r["crn"] for r in kept if r["faculty_name"] == name} == want
+
+
+def test_entries_make_the_uncut_context(spark, corpus):
+    queries, base, courses, reviews = corpus
+    frames = (
+        spark.createDataFrame(queries, "query_id int, query_vector array<double>"),
+        spark.createDataFrame(base, "base_id int, embedding array<double>, faculty_name string, subject_course string, content string"),
+        spark.createDataFrame(courses, "crn string, instructor string, course_code string"),
+        spark.createDataFrame(reviews, "review_id string, crn string, question string, response string"),
+    )
+    hits = retrieval.catalog_hits(frames[0], frames[1], 5, 3)
+    rows = retrieval.context_entries(hits, frames[2], frames[3]).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: r["position"]):
+        crns, texts = got.setdefault(r["query_id"], ([], []))
+        crns.append(r["crn"])
+        texts.append(r["entry"])
+        assert r["position"] == len(crns)
+    assert {q: (c, "\n\n".join(e)) for q, (c, e) in got.items()} == plain_contexts(queries, base, courses, reviews, 5, False, None)
