@@ -62,3 +62,22 @@ def text_batches(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = 2
             stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, base + size, side="right"))))
             yield batch.slice(at, stop - at)
             at = stop
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
+    """Runs of equal integer ``columns`` in rows sorted by them; the caller bounds how long a run may be."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in columns], 1)
+        cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        if len(cuts):
+            done = table.slice(0, cuts[-1]).combine_chunks()
+            for s, e in zip([0, *cuts[:-1]], cuts):
+                yield done.slice(s, e - s)
+            table = table.slice(cuts[-1])
+        rest = table
+    if rest is not None and rest.num_rows:
+        yield rest

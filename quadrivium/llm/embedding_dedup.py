@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadrivium.llm.common import sorted_groups
 from quadrivium.llm.components import components
 from quadrivium.session import cut_lineage, ship_package
 
@@ -174,26 +175,10 @@ def _links_of_group(rep, weight, vec, cells, probes, base, table, threshold):
 def _counted(dealt: DataFrame, threshold: float, tables: int, probes: int) -> DataFrame:
     """Blocks (key, base block, query block) to ``rep, links, root``; a block has at most 2 * BLOCK rows or so."""
     ship_package(dealt.sparkSession)
-
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if rest is not None:
-                table = pa.concat_tables([rest, table])
-            key = np.stack([table.column(k).to_numpy() for k in ("key", "bi", "qi")], 1)
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-            if len(cuts):
-                done = table.slice(0, cuts[-1]).combine_chunks()
-                for s, e in zip([0, *cuts[:-1]], cuts):
-                    yield done.slice(s, e - s)
-                table = table.slice(cuts[-1])
-            rest = table
-        if rest is not None and rest.num_rows:
-            yield rest
+    block = ["key", "bi", "qi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups(batches):
+        for g in sorted_groups(batches, block):
             if g.num_rows < 2:
                 continue
             raw = g.column("vec").to_pylist()
@@ -213,7 +198,6 @@ def _counted(dealt: DataFrame, threshold: float, tables: int, probes: int) -> Da
                     [pa.array(list(found[0]), pa.string()), pa.array(found[1]), pa.array(list(found[2]), pa.string())],
                     ["rep", "links", "root"])
 
-    block = ["key", "bi", "qi"]
     parts = dealt.repartition(*block).sortWithinPartitions(*block)
     return parts.mapInArrow(run, "rep string, links long, root string")
 

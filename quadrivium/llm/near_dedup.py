@@ -7,9 +7,10 @@ leaving each symbol out in turn: the pair shares one of ``CHUNKS * CHUNK`` keys
 in one case of 20,000, and then still has all chunks to meet in.)
 
 Members of a key are first compared with the smallest members they meet; the confirmed links make components.  What
-is left are keys whose members lie in several components: there each member of the smaller component is compared with
-all members of the larger, block by block.  No list of the pairs of a group is made, and no link between different
-components is lost.  Equal sets are one row from the start.
+is left are keys whose members lie in several components.  Block by block, members whose longer sketches (``SKETCH``
+symbols) allow a link ask for the other's component, the smaller component for the larger one, and are then compared
+with its members on whole sets.  No list of the pairs of a group is made, and no link between components is lost.  Equal
+sets are one row from the start.
 """
 
 from __future__ import annotations
@@ -22,25 +23,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrivium.llm.common import text_batches, whole_text
+from quadrivium.llm.common import sorted_groups, text_batches, whole_text
 from quadrivium.llm.components import components
 from quadrivium.llm.words import mixed, word_hashes
 from quadrivium.session import cut_lineage, ship_package
 
 CHUNKS, CHUNK = 14, 5
 SYMBOLS = CHUNKS * CHUNK
-#: Pairs that differ in more symbols are not compared; six standard deviations from what 0.8 gives.
-TRY = 34
+#: Symbols of the sketch that is looked at before two sets are compared, of 8 bits each.
+SKETCH = 198
+#: A sketch may differ in so many more standard deviations than a pair at the limit does on average.
+DEVIATIONS = 6.0
 #: Members with which each document is compared first.
 CENTRES = 2
 #: Members of a component, and of what is compared with it, that meet in one task.
 BLOCK = 256
+#: Members of a key, and of what is looked up among them, that meet at a time.
+KEY_BLOCK = 1024
 #: Documents whose sets are compared; up to so many keys, 8 bytes each, may be broadcast to find their texts.
 BROADCAST_KEYS = 2_000_000
 
 _RNG = np.random.default_rng(7_070)
-_FACTORS = _RNG.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TERMS = _RNG.integers(1, 2**64, SYMBOLS, dtype=np.uint64)
+_FACTORS = _RNG.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_TERMS = _RNG.integers(1, 2**64, SKETCH, dtype=np.uint64)
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -61,22 +66,36 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """(texts, SYMBOLS) low 16 bits of the least hash; zeros for an empty set."""
-    out = np.zeros((len(sets), SYMBOLS), np.uint16)
+def signatures(sets: list[np.ndarray], symbols: int = SYMBOLS, kind: type = np.uint16) -> np.ndarray:
+    """(texts, symbols) low bits of the least hash; zeros for an empty set."""
+    out = np.zeros((len(sets), symbols), kind)
     rows = np.flatnonzero([len(s) > 0 for s in sets])
     if not len(rows):
         return out
     values = np.concatenate([sets[r] for r in rows])
     starts = np.cumsum([0, *[len(sets[r]) for r in rows[:-1]]])
-    for k in range(SYMBOLS):
-        out[rows, k] = np.minimum.reduceat(values * _FACTORS[k] + _TERMS[k], starts).astype(np.uint16)
+    for k in range(symbols):
+        out[rows, k] = np.minimum.reduceat(values * _FACTORS[k] + _TERMS[k], starts).astype(kind)
     return out
 
 
+def sketches(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([s.tobytes() for s in signatures(sets, SKETCH, np.uint8)], pa.binary())
+
+
+def _sketch_rows(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+
+
+def most_differences(percent: int) -> int:
+    """Sketches of a pair that must be found differ in no more symbols."""
+    miss = 1 - percent / 100
+    return int(SKETCH * miss + DEVIATIONS * np.sqrt(SKETCH * miss * (1 - miss)))
+
+
 def chunk_keys(signs: np.ndarray) -> np.ndarray:
     """(texts, SYMBOLS) keys: each chunk with each of its symbols left out."""
-    code = mixed((signs.astype(np.uint64) + np.uint64(1)) * _FACTORS[None, :]).reshape(len(signs), CHUNKS, CHUNK)
+    code = mixed((signs.astype(np.uint64) + np.uint64(1)) * _FACTORS[None, :SYMBOLS]).reshape(len(signs), CHUNKS, CHUNK)
     rest = code.sum(2, dtype=np.uint64)[:, :, None] - code  # the sum without one symbol; places have factors of their own
     place = np.arange(1, SYMBOLS + 1, dtype=np.uint64).reshape(CHUNKS, CHUNK)
     return mixed(rest + place * np.uint64(0xD1B54A32D192ED03)).reshape(len(signs), SYMBOLS).view(np.int64)
@@ -112,7 +131,7 @@ def _keyed(reps: DataFrame) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``rep, signature, shingles`` of the wanted sets (rep, digest), from their texts."""
+    """``rep, n, sketch, shingles`` of the wanted sets (rep, digest), from their texts."""
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     found = rows.join(wanted, rows["id"] == wanted["rep"]).select("rep", "text", "digest")
@@ -122,10 +141,10 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(batch.column(1), words)
             own = np.array([_digest(s) == d for s, d in zip(sets, batch.column(2).to_pylist())], bool)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in signatures(sets)], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "signature", "shingles"]).filter(pa.array(own))
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), sketches(sets),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "n", "sketch", "shingles"]).filter(pa.array(own))
 
-    return found.mapInArrow(run, "rep long, signature binary, shingles binary").dropDuplicates(["rep"])
+    return found.mapInArrow(run, "rep long, n long, sketch binary, shingles binary").dropDuplicates(["rep"])
 
 
 def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -145,16 +164,16 @@ def _numbers(column) -> list[np.ndarray]:
 
 def _confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are alike."""
-    left = sets.select(F.col("rep").alias("a"), F.col("signature").alias("sa"), F.col("shingles").alias("wa"))
-    right = sets.select(F.col("rep").alias("b"), F.col("signature").alias("sb"), F.col("shingles").alias("wb"))
+    left = sets.select(F.col("rep").alias("a"), F.col("sketch").alias("sa"), F.col("shingles").alias("wa"))
+    right = sets.select(F.col("rep").alias("b"), F.col("sketch").alias("sb"), F.col("shingles").alias("wb"))
+    most = most_differences(percent)
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "wa", "wb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                signs = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for k in (2, 3)]
-                near = (signs[0] != signs[1]).sum(1) <= TRY
+                near = (_sketch_rows(batch.column(2)) != _sketch_rows(batch.column(3))).sum(1) <= most
                 good = np.array([ok and _alike(x, y, percent) for ok, x, y in zip(near, _numbers(batch.column(4)), _numbers(batch.column(5)))], bool)
                 yield batch.select([0, 1]).filter(pa.array(good))
 
@@ -176,19 +195,61 @@ def _confirmed_blocks(asks: DataFrame, homes: DataFrame, sets: DataFrame, percen
     ask = dealt.select("rep", "other", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bi"), F.pmod(at, nq).cast("int").alias("qi"), F.lit(0).alias("base"))
     block = ["other", "bi", "qi"]
     met = base.unionByName(ask).join(sets, "rep")
+    most = most_differences(percent)
 
     def run(table: pa.Table) -> pa.Table:
         ids, inside = table.column("rep").to_numpy(), table.column("base").to_numpy().astype(bool)
-        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        signs = _sketch_rows(table.column("sketch"))
         values, b, out = _numbers(table.column("shingles")), np.flatnonzero(inside), []
         for q in np.flatnonzero(~inside):
-            near = b[(signs[b] != signs[q]).sum(1) <= TRY]
+            near = b[(signs[b] != signs[q]).sum(1) <= most]
             out += [(ids[q], ids[k]) for k in near if _alike(values[q], values[k], percent)]
         return pa.table([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
     return met.groupBy(*block).applyInArrow(run, "a long, b long")
 
 
+def _asks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, other): members of a key and the larger components in it that their sketches come near to.
+
+    ``placed`` has ``key, rep, component, size``.  Only keys with several components are looked at, and in them only
+    members outside the key's largest component look among all members.
+    """
+    keys = placed.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("n"))
+    keys = keys.filter("lo != hi").select("key", F.col("top.component").alias("top"), "n")
+    rows = placed.join(keys, "key")
+    blocks, at = F.ceil(F.col("n") / KEY_BLOCK).cast("int"), F.xxhash64("rep")
+    everywhere = F.sequence(F.lit(0), blocks - 1)
+    here = F.pmod(at, blocks).cast("int")
+    as_base = F.transform(everywhere, lambda k: F.struct(here.alias("bi"), k.alias("qi"), F.lit(1).alias("base")))
+    as_query = F.transform(everywhere, lambda k: F.struct(k.alias("bi"), here.alias("qi"), F.lit(0).alias("base")))
+    dealt = rows.select("key", "rep", "component", "size", F.explode(
+        F.when(F.col("component") != F.col("top"), F.concat(as_base, as_query)).otherwise(as_base)).alias("_p")).select(
+        "key", "rep", "component", "size", "_p.*").join(sets.select("rep", F.col("n").alias("count"), "sketch"), "rep")
+    most, block = most_differences(percent), ["key", "bi", "qi"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, block):
+            inside = table.column("base").to_numpy().astype(bool)
+            if inside.all() or not inside.any():
+                continue
+            rep, component, size, count = (table.column(c).to_numpy() for c in ("rep", "component", "size", "count"))
+            sketch, b = _sketch_rows(table.column("sketch")), np.flatnonzero(inside)
+            found = set()
+            for q in np.flatnonzero(~inside):
+                able = b[(size[b] > size[q]) | ((size[b] == size[q]) & (component[b] > component[q]))]
+                low, high = np.minimum(count[able], count[q]), np.maximum(count[able], count[q])
+                able = able[100 * low >= percent * high]
+                near = able[(sketch[able] != sketch[q]).sum(1) <= most]
+                found.update((int(rep[q]), int(c)) for c in np.unique(component[near]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found]), pa.array([y for _, y in found])], ["rep", "other"])
+
+    parts = dealt.repartition(*block).sortWithinPartitions(*block)
+    return parts.mapInArrow(run, "rep long, other long").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_shingles, component_id, kept``.
 
@@ -216,12 +277,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     homes = homes.withColumn("component", F.coalesce("component", "rep"))
     homes = cut_lineage(homes.join(homes.groupBy("component").agg(F.count("*").alias("size")), "component"))
     placed = met.select("key", "rep").join(homes, "rep")
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.struct("size", "component")).alias("top")).filter("lo != hi")
-    left = placed.join(mixed_keys.select("key", "top"), "key")
-    inside = left.select("key", F.struct("size", "component").alias("other_rank")).distinct()
-    asks = left.filter(F.struct("size", "component") < F.col("top")).select("key", "rep", F.struct("size", "component").alias("rank"))
-    asks = asks.join(inside, "key").filter("rank < other_rank").select("rep", F.col("other_rank.component").alias("other")).distinct()
-    more = _confirmed_blocks(cut_lineage(asks), homes, sets, percent)
+    more = _confirmed_blocks(cut_lineage(_asks(placed, sets, percent)), homes, sets, percent)
     groups = components(links.unionByName(more)).withColumnRenamed("node", "rep")
     found = reps.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     linked = facts.filter("n > 0 AND id IS NOT NULL").join(cut_lineage(found), "digest").select("id", "n", "component_id")

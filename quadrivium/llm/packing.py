@@ -24,7 +24,7 @@ from quadrivium.session import cut_lineage, ship_package
 MAX_LEN = 1024
 END_ID = 2
 #: Rows of one length that one task numbers; longer runs are split by a hash of the key.
-RANK_ROWS = 200_000
+RANK_ROWS = 20_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
