@@ -101,6 +101,16 @@ def chunk_keys(signs: np.ndarray) -> np.ndarray:
     return mixed(rest + place * np.uint64(0xD1B54A32D192ED03)).reshape(len(signs), SYMBOLS).view(np.int64)
 
 
+def first_shared(signs: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The place of the first key that each signature shares with another one; -1 where it shares none."""
+    differ = (signs != other).reshape(len(signs), CHUNKS, CHUNK)
+    errors = differ.sum(2)
+    chunk = (errors <= 1).argmax(1)
+    rows = np.arange(len(signs))
+    out = chunk * CHUNK + differ[rows, chunk].argmax(1)  # without an error all keys of the chunk are shared
+    return np.where(errors[rows, chunk] <= 1, out, -1)
+
+
 def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
@@ -131,7 +141,7 @@ def _keyed(reps: DataFrame) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``rep, n, sketch, shingles`` of the wanted sets (rep, digest), from their texts."""
+    """``rep, n, signature, sketch, shingles`` of the wanted sets (rep, digest), from their texts."""
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     found = rows.join(wanted, rows["id"] == wanted["rep"]).select("rep", "text", "digest")
@@ -141,10 +151,11 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(batch.column(1), words)
             own = np.array([_digest(s) == d for s, d in zip(sets, batch.column(2).to_pylist())], bool)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), sketches(sets),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "n", "sketch", "shingles"]).filter(pa.array(own))
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in signatures(sets)], pa.binary()),
+                 sketches(sets), pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["rep", "n", "signature", "sketch", "shingles"]).filter(pa.array(own))
 
-    return found.mapInArrow(run, "rep long, n long, sketch binary, shingles binary").dropDuplicates(["rep"])
+    return found.mapInArrow(run, "rep long, n long, signature binary, sketch binary, shingles binary").dropDuplicates(["rep"])
 
 
 def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -194,7 +205,7 @@ def _confirmed_blocks(asks: DataFrame, homes: DataFrame, sets: DataFrame, percen
     dealt = asks.join(asked, "other").join(sizes, "other")
     ask = dealt.select("rep", "other", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bi"), F.pmod(at, nq).cast("int").alias("qi"), F.lit(0).alias("base"))
     block = ["other", "bi", "qi"]
-    met = base.unionByName(ask).join(sets, "rep")
+    met = base.unionByName(ask).join(sets.select("rep", "sketch", "shingles"), "rep")
     most = most_differences(percent)
 
     def run(table: pa.Table) -> pa.Table:
@@ -213,7 +224,8 @@ def _asks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(rep, other): members of a key and the larger components in it that their sketches come near to.
 
     ``placed`` has ``key, rep, component, size``.  Only keys with several components are looked at, and in them only
-    members outside the key's largest component look among all members.
+    members outside the key's largest component look among all members.  A pair that shares several keys is looked at in
+    the first of them alone.
     """
     keys = placed.groupBy("key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("n"))
@@ -226,7 +238,7 @@ def _asks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     as_query = F.transform(everywhere, lambda k: F.struct(k.alias("bi"), here.alias("qi"), F.lit(0).alias("base")))
     dealt = rows.select("key", "rep", "component", "size", F.explode(
         F.when(F.col("component") != F.col("top"), F.concat(as_base, as_query)).otherwise(as_base)).alias("_p")).select(
-        "key", "rep", "component", "size", "_p.*").join(sets.select("rep", F.col("n").alias("count"), "sketch"), "rep")
+        "key", "rep", "component", "size", "_p.*").join(sets.select("rep", F.col("n").alias("count"), "signature", "sketch"), "rep")
     most, block = most_differences(percent), ["key", "bi", "qi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,12 +248,15 @@ def _asks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 continue
             rep, component, size, count = (table.column(c).to_numpy() for c in ("rep", "component", "size", "count"))
             sketch, b = _sketch_rows(table.column("sketch")), np.flatnonzero(inside)
+            sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+            place = np.flatnonzero(chunk_keys(sign[:1])[0] == table.column("key")[0].as_py())
             found = set()
             for q in np.flatnonzero(~inside):
                 able = b[(size[b] > size[q]) | ((size[b] == size[q]) & (component[b] > component[q]))]
                 low, high = np.minimum(count[able], count[q]), np.maximum(count[able], count[q])
                 able = able[100 * low >= percent * high]
                 near = able[(sketch[able] != sketch[q]).sum(1) <= most]
+                near = near[np.isin(first_shared(sign[near], sign[q]), place)]
                 found.update((int(rep[q]), int(c)) for c in np.unique(component[near]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found]), pa.array([y for _, y in found])], ["rep", "other"])
