@@ -2,40 +2,47 @@
 
 from __future__ import annotations
 
+from html import entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quadrivium.functions.text import _col, strip
 
-# Named entities that occur in catalog pages.
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&amp;": "&",
-}
+#: A character reference; the names are those of the HTML standard, from Python's table.
+_REFERENCE = "&(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"
+_NAMES = "\x02".join(f"{name[:-1]}\x01{value}" for name, value in sorted(entities.html5.items()) if name.endswith(";"))
+_REPLACEMENT = "\ufffd"
+#: What browsers show for 128 to 159: the bytes of the Western code page, where it has them.
+_WESTERN = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160))
+
 
-_NUMERIC = "&#([xX][0-9a-fA-F]{1,5}|[0-9]{1,6});"
+def _numeric(body: Column) -> Column:
+    """Character of a reference body such as ``#233`` or ``#xE9``, by the HTML rules for odd numbers."""
+    is_hex = F.lower(F.substring(body, 2, 1)) == "x"
+    digits = F.regexp_replace(body, "^#[xX]?0*", "")
+    long = F.length(digits) > 8
+    code = F.when(long, F.lit(0)).otherwise(
+        F.coalesce(F.conv(F.when(is_hex, digits), 16, 10), F.conv(F.when(~is_hex, digits), 10, 10)).try_cast("bigint"))
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    western = F.substring(F.lit(_WESTERN), code.cast("int") - 127, F.lit(1))
+    bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    return F.when(bad, F.lit(_REPLACEMENT)).when(code.between(128, 159), western).otherwise(plain)
 
 
 def decode_entities(text: Column) -> Column:
-    """Numeric and common named character references; '&amp;' last, so nothing is decoded twice."""
-    chunks = F.split(text, f"(?={_NUMERIC})")
+    """Numeric and named character references of any length, each decoded once; unknown names stay."""
+    chunks = F.split(text, f"(?={_REFERENCE})")
+    names = F.str_to_map(F.lit(_NAMES), F.lit("\x02"), F.lit("\x01"))
 
-    def numeric(chunk: Column) -> Column:
-        body = F.regexp_extract(chunk, f"^{_NUMERIC}", 1)
-        rest = F.regexp_replace(chunk, f"^{_NUMERIC}", "")
-        is_hex = F.lower(F.left(body, F.lit(1))) == "x"
-        code = F.when(is_hex, F.substring(body, 2, 6)).otherwise(F.hex(body.try_cast("int")))
-        char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-        return F.when(body == "", chunk).otherwise(F.concat(char, rest))
+    def decoded(chunk: Column) -> Column:
+        body = F.regexp_extract(chunk, f"^{_REFERENCE}", 1)
+        rest = F.regexp_replace(chunk, f"^{_REFERENCE}", "")
+        named = F.try_element_at(names, body)
+        char = F.when(body.startswith("#"), _numeric(body)).otherwise(named)
+        return F.when((body == "") | char.isNull(), chunk).otherwise(F.concat(char, rest))
 
-    out = F.when(text.rlike(_NUMERIC), F.array_join(F.transform(chunks, numeric), "")).otherwise(text)
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return F.when(text.rlike(_REFERENCE), F.array_join(F.transform(chunks, decoded), "")).otherwise(text)
 
 
 def without_comments(html: Column) -> Column:
@@ -53,11 +60,37 @@ def plain_text(fragment: Column) -> Column:
     return strip(decode_entities(F.regexp_replace(without_comments(fragment), r"<[^>]*>", "")))
 
 
+def elements(html: Column, tag: str, attributes: str = "") -> Column:
+    """Inner HTML of the outermost elements of a name; elements of the same name inside are part of it.
+
+    ``attributes`` is a lookahead that the opening tag must meet.  An element without an end tag
+    reaches to the end.
+    """
+    opening = rf"(?is)^<{tag}\b{attributes}[^>]*>"
+    chunks = F.split(html, rf"(?i)(?=</?{tag}\b)")
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.array().cast("array<string>").alias("out"))
+
+    def step(at: Column, chunk: Column) -> Column:
+        depth, text, out = at["depth"], at["text"], at["out"]
+        starts = (depth == 0) & chunk.rlike(opening)
+        opens, closes = chunk.rlike(rf"(?i)^<{tag}\b"), chunk.rlike(rf"(?i)^</{tag}\b")
+        ends = (depth == 1) & closes
+        return F.struct(
+            F.when(starts, 1).when((depth > 0) & opens, depth + 1).when((depth > 0) & closes, depth - 1).otherwise(depth).alias("depth"),
+            F.when(starts, F.regexp_replace(chunk, opening, "")).when(ends | (depth == 0), "").otherwise(F.concat(text, chunk)).alias("text"),
+            F.when(ends, F.concat(out, F.array(text))).otherwise(out).alias("out"),
+        )
+
+    def finish(at: Column) -> Column:
+        return F.when(at["depth"] > 0, F.concat(at["out"], F.array(at["text"]))).otherwise(at["out"])
+
+    return F.aggregate(chunks, start, step, finish)
+
+
 def element_text(html: Column | str, tag: str, attribute: str | None = None, value: str | None = None) -> Column:
     """Joined text of the first matching element, null if there is none."""
     attrs = "" if attribute is None else rf"""(?=[^>]*\b{attribute}\s*=\s*["']?{value}["']?[\s>/])"""
-    found = F.regexp_extract_all(without_comments(_col(html)), F.lit(rf"(?is)<{tag}\b{attrs}[^>]*>(.*?)</{tag}\s*>"), 1)
-    return joined_text(F.get(found, F.lit(0)))
+    return joined_text(F.get(elements(without_comments(_col(html)), tag, attrs), F.lit(0)))
 
 
 def table_rows(html: Column | str, css_class: str, cells: dict[str, int]) -> Column:
@@ -65,11 +98,10 @@ def table_rows(html: Column | str, css_class: str, cells: dict[str, int]) -> Col
 
     A row with too few cells empties the whole list: the table is then not in the known layout.
     """
-    opening = rf"""(?is)<table\b[^>]*\bclass\s*=\s*["'][^"']*\b{css_class}\b[^"']*["'][^>]*>(.*?)</table\s*>"""
-    table = F.get(F.regexp_extract_all(without_comments(_col(html)), F.lit(opening), 1), F.lit(0))
-    body = F.get(F.regexp_extract_all(table, F.lit(r"(?is)<tbody\b[^>]*>(.*?)</tbody\s*>"), 1), F.lit(0))
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), 1)
-    parts = F.transform(rows, lambda r: F.regexp_extract_all(r, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), 1))
+    wanted = rf"""(?=[^>]*\bclass\s*=\s*["'][^"']*\b{css_class}\b[^"']*["'])"""
+    table = F.get(elements(without_comments(_col(html)), "table", wanted), F.lit(0))
+    rows = elements(F.get(elements(table, "tbody"), F.lit(0)), "tr")
+    parts = F.transform(rows, lambda r: elements(r, "td"))
     result = F.transform(
         parts,
         lambda c: F.struct(*[plain_text(F.get(c, F.lit(i))).alias(name) for name, i in cells.items()]),

@@ -9,9 +9,6 @@ from quadrivium import constants as C
 from quadrivium.operators import pairs
 from quadrivium.session import cut_lineage
 
-NOISE = -1
-
-
 def neighbour_counts(points: DataFrame, key: str, vector: str, eps: float, **sizes: int) -> DataFrame:
     """(key, neighbours) of every distinct vector, itself and its copies included."""
     distinct = pairs.distinct_vectors(points, key, vector)
@@ -71,10 +68,11 @@ def dbscan(
     min_samples: int = C.DBSCAN_MIN_SAMPLES,
     **sizes: int,
 ) -> DataFrame:
-    """(key, vector, label, is_core) of every point; noise has label -1.
+    """(key, vector, label, is_core) of every point; the label, of the key's type, is null for noise.
 
     A cluster is named by the smallest key among its core points; a border point in reach of two
-    clusters takes the smaller name.  Copies of a vector are handled once.
+    clusters takes the smaller name.  Copies of a vector are handled once.  A point without a
+    vector is noise.
     """
     distinct = cut_lineage(pairs.distinct_vectors(points, key, vector))
     counts = pairs.fold_pairs(
@@ -106,19 +104,22 @@ def dbscan(
     ).select(F.col("left_id").alias("key"), "label")
     columns = ["key", "vector", "copies", "label", "is_core"]
     labelled = named.withColumn("is_core", F.lit(True)).select(*columns).unionByName(
-        rest.join(border, "key", "left").withColumn("label", F.coalesce("label", F.lit(NOISE))).select(*columns)
+        rest.join(border, "key", "left").select(*columns)
     )
     # a vector without copies is its own row; only copied vectors are looked up again
     single = labelled.where("copies = 1").drop("copies")
     copied = labelled.where("copies > 1").select("vector", "label", "is_core")
     rows = points.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
-    return single.unionByName(rows.join(copied, "vector").select(*single.columns))
+    missing = rows.where(F.col("vector").isNull()).select(
+        "key", "vector", F.lit(None).cast(single.schema["label"].dataType).alias("label"), F.lit(False).alias("is_core")
+    )
+    return single.unionByName(rows.join(copied, "vector").select(*single.columns)).unionByName(missing)
 
 
 def assign_to_clusters(
     points: DataFrame, clusters: DataFrame, key: str, vector: str, eps: float = C.DBSCAN_EPS, **sizes: int
 ) -> DataFrame:
-    """(key, label, distance): label of the nearest core point, -1 where it is farther than ``eps``."""
+    """(key, label, distance): label of the nearest core point, null where it is farther than ``eps``."""
     core = (
         clusters.where("is_core")
         .groupBy("vector")
@@ -128,11 +129,12 @@ def assign_to_clusters(
         points, core, pairs.NearestLabel(), left_key=key, right_key="key", left_vector=vector,
         right_vector="vector", right_payload="label", **sizes
     )
-    label = F.when(F.col("distance") <= eps, F.col("label")).otherwise(F.lit(NOISE))
+    label = F.when(F.col("distance") <= eps, F.col("label"))
     found = near.select(F.col("left_id").alias("key"), label.alias("label"), "distance")
     everyone = points.select(F.col(key).alias("key"))
-    return everyone.join(found, "key", "left").select("key", F.coalesce("label", F.lit(NOISE)).alias("label"), "distance")
+    return everyone.join(found, "key", "left").select("key", "label", "distance")
 
 
 def noise_share(labels: DataFrame) -> DataFrame:
-    return labels.agg(F.avg((F.col("label") == NOISE).cast("double")).alias("noise_share"))
+    """Share of points without a cluster."""
+    return labels.agg(F.avg(F.col("label").isNull().cast("double")).alias("noise_share"))

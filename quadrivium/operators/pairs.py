@@ -75,20 +75,45 @@ def cosine_distance(left: Block, right: Block) -> np.ndarray:
     return np.round(1.0 - unit(left.vectors) @ unit(right.vectors).T, 12)
 
 
+def squared_distance(left: Block, right: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Squared Euclidean distances by one matrix product, and a bound of their rounding error.
+
+    Both sides are moved next to the origin first: the error grows with the vectors' lengths.
+    """
+    middle = right.vectors.mean(0) if len(right) else 0.0
+    a, b = left.vectors - middle, right.vectors - middle
+    sizes = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    return sizes - 2.0 * (a @ b.T), 4.0 * (a.shape[1] + 4) * np.finfo(float).eps * sizes + _moved(left, right, middle)
+
+
+def _moved(left: Block, right: Block, middle) -> float:
+    """Error that moving may add: rounding of coordinates much larger than their differences."""
+    if not len(left) or not len(right):
+        return 0.0
+    reach = max(np.abs(left.vectors).max(initial=0.0), np.abs(right.vectors).max(initial=0.0))
+    step = 2.0 * np.finfo(float).eps * reach
+    width = max(np.abs(left.vectors - middle).max(initial=0.0), np.abs(right.vectors - middle).max(initial=0.0))
+    return left.vectors.shape[1] * (4.0 * width * step + step * step)
+
+
 def euclidean_distance(left: Block, right: Block) -> np.ndarray:
-    a, b = left.vectors, right.vectors
-    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(square, 0.0))
+    return np.sqrt(np.maximum(squared_distance(left, right)[0], 0.0))
+
+
+def _direct(left: Block, right: Block, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Distances of some pairs from their differences."""
+    gap = left.vectors[rows] - right.vectors[cols]
+    return np.sqrt((gap * gap).sum(1))
 
 
 def within(left: Block, right: Block, eps: float) -> np.ndarray:
-    """Boolean matrix of pairs at most ``eps`` apart; pairs near the limit are computed directly."""
-    near = euclidean_distance(left, right)
-    result = near <= eps
-    rows, cols = np.nonzero(np.abs(near - eps) < 1e-6)
-    if len(rows):
-        gap = left.vectors[rows] - right.vectors[cols]
-        result[rows, cols] = np.sqrt((gap * gap).sum(1)) <= eps
+    """Boolean matrix of pairs at most ``eps`` apart; pairs that rounding could move across are computed directly."""
+    square, error = squared_distance(left, right)
+    result = square <= eps * eps
+    rows, cols = np.nonzero(np.abs(square - eps * eps) <= error + 1e-9 * eps * eps)
+    for at in range(0, len(rows), 200_000):
+        r, c = rows[at:at + 200_000], cols[at:at + 200_000]
+        result[r, c] = _direct(left, right, r, c) <= eps
     return result
 
 
@@ -275,14 +300,16 @@ class NearestLabel(Fold):
 
     def update(self, state, left, right):
         best, ids, labels = state
-        order = np.argsort(_ranks(right.ids.astype(object)), kind="stable")
-        at = order[euclidean_distance(left, right)[:, order].argmin(axis=1)]
-        gap = left.vectors - right.vectors[at]
-        dist = np.round(np.sqrt((gap * gap).sum(axis=1)), 12)
-        for row in np.nonzero(dist <= best)[0]:
-            candidate = right.ids[at[row]]
-            if dist[row] < best[row] or candidate < ids[row]:
-                best[row], ids[row], labels[row] = dist[row], candidate, right.payload[at[row]]
+        square, error = squared_distance(left, right)
+        # all that rounding could make the nearest are measured directly, so ties do not depend on the tiles
+        limit = (square + error).min(axis=1) * (1 + 1e-11) + 1e-24
+        rows, cols = np.nonzero(square - error <= limit[:, None])
+        dist = np.round(_direct(left, right, rows, cols), 12)
+        order = np.lexsort((_ranks(right.ids.astype(object))[cols], dist, rows))
+        first = order[np.concatenate([[True], np.diff(rows[order]) > 0])] if len(order) else order
+        for row, col, d in zip(rows[first], cols[first], dist[first]):
+            if d < best[row] or (d == best[row] and (ids[row] is None or right.ids[col] < ids[row])):
+                best[row], ids[row], labels[row] = d, right.ids[col], right.payload[col]
         return best, ids, labels
 
     def finish(self, state, left):

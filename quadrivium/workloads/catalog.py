@@ -55,7 +55,7 @@ def meeting_days(spark, sf):
 
 
 def _escape(column):
-    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("é", "&#233;")):
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("é", "&#0000233;"), ("è", "&egrave;"), ("ü", "&#xFC;")):
         column = F.replace(column, F.lit(char), F.lit(name))
     return column
 
@@ -63,10 +63,10 @@ def _escape(column):
 def _description_payloads(spark, sf):
     page = F.concat(
         F.lit('<html><body><!-- x --><section class="a" aria-labelledby="courseDescription">\n'), _escape(F.col("text")),
-        F.lit("\n</section></body></html>"),
+        F.lit("<section><section class='b'> inner</section></section> &#38;lt;end\n</section><section>other</section></body></html>"),
     )
     return t.read(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("crn"), F.when(F.col("lang") == "de", F.lit("<p>none</p>")).otherwise(page).alias("html")
+        F.col("doc_id").cast("string").alias("crn"), F.when(F.col("doc_id") % 9 == 4, F.lit("<p>none</p>")).otherwise(page).alias("html")
     )
 
 
@@ -139,9 +139,11 @@ _PARTS = """parts AS (
 _FACULTY = f"""faculty AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS crn, CASE WHEN s_acctbal >= 0 THEN s_name ELSE '' END AS faculty_name,
          lpad(CAST(s_suppkey % 24 AS VARCHAR), 4, '0') AS begin_time, '' AS end_time, {_days('s_suppkey')} AS days FROM supplier)"""
+# every piece of text between tags is stripped before the pieces are joined
+_DESCRIPTION = f"({t.sql_strip('text')} || 'inner' || '&lt;end')"
 _DESCRIBED = f"""described AS (
   SELECT CAST(doc_id AS VARCHAR) AS crn,
-         CASE WHEN lang = 'de' THEN '{catalog.NO_DESCRIPTION}' ELSE {t.sql_response(t.sql_strip('text'))} END AS course_description
+         CASE WHEN doc_id % 9 = 4 THEN '{catalog.NO_DESCRIPTION}' ELSE {t.sql_response(_DESCRIPTION)} END AS course_description
   FROM documents)"""
 _ENRICHED = t.with_(_PARTS, _FACULTY, _DESCRIBED) + """, enriched AS (
   SELECT p.crn, p.campus_description, p.course_title, p.subject_course, coalesce(f.faculty_name, '') AS faculty_name,

@@ -119,6 +119,26 @@ def nearest_core(spark, sf):
     return _rounded(cluster.assign_to_clusters(_test(spark, sf), _clusters(spark, sf), "id", "v", EPS), "distance")
 
 
+def dbscan_string_keys(spark, sf):
+    """Clusters of points with string keys; every fiftieth point has no vector and is noise."""
+    points = _train(spark, sf).select(
+        F.lpad(F.col("id").cast("string"), 12, "0").alias("id"), F.when(F.col("id") % 50 != 7, F.col("v")).alias("v")
+    )
+    return cluster.dbscan(points, "id", "v", EPS).select("key", "label", "is_core")
+
+
+def nearest_core_ties(spark, sf):
+    """Points halfway between two core points that are equally near: the smaller key gives the label."""
+    core = t.read(spark, sf, "part").where("p_partkey % 2 = 0").select(
+        F.col("p_partkey").alias("key"), F.array(F.col("p_partkey").cast("double"), F.lit(0.0)).alias("vector"),
+        (-F.col("p_partkey")).alias("label"), F.lit(True).alias("is_core"),
+    )
+    points = t.read(spark, sf, "part").where("p_partkey % 2 = 1").select(
+        F.col("p_partkey").alias("id"), F.array(F.col("p_partkey").cast("double"), F.lit(0.5)).alias("v")
+    )
+    return _rounded(cluster.assign_to_clusters(points, core, "id", "v", 2.0), "distance")
+
+
 def density_drift(spark, sf):
     return _rounded(
         drift.density_drift(_train(spark, sf), _test(spark, sf), "id", "v", EPS), "train_noise_share", "test_noise_share"
@@ -137,7 +157,8 @@ QUERIES = {
     for f in [
         drift_thresholds_batch, drift_thresholds_global, drift_thresholds_negative, min_similarity, drift_band, drift_flag,
         drift_trend, drift_trend_queries, drift_mean_distance, drift_mean_distance_share, mean_pair_distance,
-        drift_text_properties, distinct_queries, dbscan_core_points, dbscan_labels, nearest_core, density_drift, text_embedding,
+        drift_text_properties, distinct_queries, dbscan_core_points, dbscan_labels, nearest_core, dbscan_string_keys,
+        nearest_core_ties, density_drift, text_embedding,
     ]
 }
 
@@ -164,13 +185,13 @@ reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN l
 core_labels AS (SELECT a AS key, min(b) AS label FROM reach GROUP BY a),
 border AS (SELECT n.a AS key, min(c.label) AS label FROM near n JOIN core_labels c ON n.b = c.key
            WHERE n.a NOT IN (SELECT key FROM core) GROUP BY n.a),
-labelled AS (SELECT t.id AS key, coalesce(c.label, b.label, -1) AS label, c.key IS NOT NULL AS is_core
+labelled AS (SELECT t.id AS key, coalesce(c.label, b.label) AS label, c.key IS NOT NULL AS is_core
              FROM train t LEFT JOIN core_labels c ON t.id = c.key LEFT JOIN border b ON t.id = b.key)"""
 _NEAREST = f"""nearest AS (
   SELECT a.id AS key, list_distance(a.v, b.v) AS distance, c.label,
          row_number() OVER (PARTITION BY a.id ORDER BY round(list_distance(a.v, b.v), 12), b.id) AS n
   FROM test a CROSS JOIN train b JOIN core_labels c ON b.id = c.key),
-assigned AS (SELECT key, CASE WHEN distance <= {EPS} THEN label ELSE -1 END AS label, distance FROM nearest WHERE n = 1)"""
+assigned AS (SELECT key, CASE WHEN distance <= {EPS} THEN label END AS label, distance FROM nearest WHERE n = 1)"""
 
 _tokens = "list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda w: w <> '')"
 _special = "length(regexp_replace(text, '[\\p{L}\\p{N}\\s\\x0b!-/:-@\\[-`{-~]', '', 'g'))"
@@ -225,7 +246,16 @@ SQL = {
     "dbscan_labels": t.with_(_VECTORS, _CLUSTERS).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT key, label, is_core FROM labelled",
     "nearest_core": t.with_(_VECTORS, _CLUSTERS, _NEAREST).replace("WITH ", "WITH RECURSIVE ", 1)
     + "SELECT key, label, round(distance, 6) AS distance FROM assigned",
+    "dbscan_string_keys": t.with_(
+        _VECTORS, _CLUSTERS.replace("train", "keyed").replace("FROM keyed t", "FROM every t")).replace("near AS (", """every AS (
+          SELECT lpad(CAST(id AS VARCHAR), 12, '0') AS id, id AS n, v FROM train), keyed AS (SELECT id, v FROM every WHERE n % 50 <> 7),
+        near AS (""", 1).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT key, label, is_core FROM labelled",
+    "nearest_core_ties": """
+        SELECT p.p_partkey AS key, -CASE WHEN l.k IS NULL THEN r.k ELSE l.k END AS label, round(sqrt(1.25), 6) AS distance
+        FROM part p LEFT JOIN (SELECT p_partkey AS k FROM part WHERE p_partkey % 2 = 0) l ON l.k = p.p_partkey - 1
+        LEFT JOIN (SELECT p_partkey AS k FROM part WHERE p_partkey % 2 = 0) r ON r.k = p.p_partkey + 1
+        WHERE p.p_partkey % 2 = 1""",
     "density_drift": t.with_(_VECTORS, _CLUSTERS, _NEAREST).replace("WITH ", "WITH RECURSIVE ", 1)
-    + """SELECT round((SELECT avg(CAST(label = -1 AS DOUBLE)) FROM labelled), 6) AS train_noise_share,
-        round((SELECT avg(CAST(label = -1 AS DOUBLE)) FROM assigned), 6) AS test_noise_share""",
+    + """SELECT round((SELECT avg(CAST(label IS NULL AS DOUBLE)) FROM labelled), 6) AS train_noise_share,
+        round((SELECT avg(CAST(label IS NULL AS DOUBLE)) FROM assigned), 6) AS test_noise_share""",
 }

@@ -99,7 +99,7 @@ def py_dbscan(points, eps, low):
                     stack += [y for y in near[x] if y in core]
     for k in keys:
         if k not in core:
-            label[k] = min((label[y] for y in near[k] if y in core), default=-1)
+            label[k] = min((label[y] for y in near[k] if y in core), default=None)
     return label, core
 
 
@@ -115,7 +115,42 @@ def test_dbscan_against_plain_search(spark, way):
     assert len(rows) == len(points)
     assert {r["key"]: r["label"] for r in rows} == want
     assert {r["key"] for r in rows if r["is_core"]} == core
-    assert -1 in want.values() and len(set(want.values())) > 3
+    assert None in want.values() and len(set(want.values())) > 3
+
+
+@pytest.mark.parametrize("way", ["broadcast right", "cells"])
+def test_dbscan_keeps_key_types_and_null_vectors(spark, way):
+    sizes = {} if way == "broadcast right" else {"broadcast_bytes": 0, "cell_bytes": 4 * 8 * 3}
+    rows = [("b", [0.0]), ("a", [0.1]), ("c", [0.2]), ("z", [9.0]), ("n", None)]
+    found = cluster.dbscan(spark.createDataFrame(rows, "id string, v array<double>"), "id", "v", 0.25, 3, **sizes)
+    assert {r["key"]: r["label"] for r in found.collect()} == {"a": "a", "b": "a", "c": "a", "z": None, "n": None}
+    assert cluster.noise_share(found).first()[0] == pytest.approx(0.4)
+    negative = [(-1, [0.0]), (5, [0.1]), (6, [0.2]), (7, [9.0])]
+    labels = cluster.dbscan(spark.createDataFrame(negative, "id long, v array<double>"), "id", "v", 0.25, 3, **sizes).collect()
+    assert {r["key"]: r["label"] for r in labels} == {-1: -1, 5: -1, 6: -1, 7: None}
+
+
+def test_ties_do_not_depend_on_tiles():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        at = rng.normal(size=3) * 1000
+        step = rng.normal(size=3)
+        left = pairs.Block(np.array([0]), at[None], np.array([0]))
+        right = pairs.Block(np.array([4, 2, 9]), np.stack([at + step, at - step, at + 3 * step]), np.array([40, 20, 90]))
+        whole, split = pairs.NearestLabel(), pairs.NearestLabel()
+        one = whole.finish(whole.update(whole.start(left), left, right), left)
+        state = split.start(left)
+        for tile in right.tiles(1):
+            state = split.update(state, left, tile)
+        two = split.finish(state, left)
+        assert [list(x) for x in one] == [list(x) for x in two]
+
+
+def test_within_far_from_the_origin():
+    rng = np.random.default_rng(6)
+    a, b = (rng.normal(size=(300, 8)) + 3e6 for _ in range(2))
+    near = pairs.within(pairs.Block(np.arange(300), a, np.zeros(300)), pairs.Block(np.arange(300), b, np.zeros(300)), 3.5)
+    assert (near == (np.sqrt(((a[:, None] - b[None]) ** 2).sum(2)) <= 3.5)).all()
 
 
 def test_assignment_of_new_points(spark):
@@ -123,10 +158,10 @@ def test_assignment_of_new_points(spark):
     clusters = cluster.dbscan(train, "id", "v", 0.25, 3)
     new = spark.createDataFrame([(100, [0.2, 0.1]), (101, [9.0, 9.0])], "id long, v array<double>")
     got = {r["key"]: r["label"] for r in cluster.assign_to_clusters(new, clusters, "id", "v", 0.25).collect()}
-    assert got == {100: 0, 101: -1}
+    assert got == {100: 0, 101: None}
     noise = spark.createDataFrame([(1, [0.0]), (2, [9.0])], "id long, v array<double>")
     nothing = cluster.dbscan(noise, "id", "v", 0.5, 3)
-    assert {r["label"] for r in nothing.collect()} == {-1}
+    assert {r["label"] for r in nothing.collect()} == {None}
     assert cluster.assign_to_clusters(noise, nothing, "id", "v", 0.5).count() == 2
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 import string
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,24 @@ def test_html_text(one):
     assert one(html.element_text("x", "section", "aria-labelledby", "courseDescription"), x="<section>no</section>") is None
 
 
+def test_html_nested_elements(one):
+    inner = lambda x: one(html.element_text("x", "section", "class", "a"), x=x)
+    assert inner("<section class=a>a<section>b</section>c</section>d") == "abc"
+    assert inner("<section><p><section class='a'>in</section></p></section>") == "in"
+    assert inner("<SECTION class='a'>open <b>end") == "openend"
+    cells = {"first": 0}
+    page = "<table class='t'><tbody><tr><td>x<table><tbody><tr><td>y</td></tr></tbody></table></td></tr><tr><td>z</td></tr></tbody></table>"
+    assert [r["first"] for r in one(html.table_rows("x", "t", cells), x=page)] == ["xy", "z"]
+
+
+@pytest.mark.parametrize("raw", [
+    "&#38;lt;b", "&eacute;&rsquo;&nbsp;&Eacute;", "&#1114109;", "&#0000039;", "&#x0001F642;", "&#128;", "&#0;", "&#xD800;", "&#99999999999;",
+    "&unknown; &amp;amp; & &;", "&fjlig;", "a&lt;b&gt;c", "",
+])
+def test_entities_like_the_standard(one, raw):
+    assert one(html.decode_entities(F.col("x")), x=raw) == unescape(raw)
+
+
 def test_html_rows(one):
     cells = {"and_or": 0, "subject": 4, "course_number": 5, "level": 6, "grade": 7}
     row = "<tr>" + "".join(f"<td>{c}</td>" for c in ["", "", "", "", "Mathematics", "2321", " Undergraduate ", "C-"]) + "</tr>"
