@@ -44,7 +44,8 @@ def test_filter_never_misses_and_seldom_errs():
     rng = np.random.default_rng(1)
     items = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
     counts = rng.zipf(1.5, 20_000).clip(1, 10**6)
-    known = bloom_lm.Filter({0: bloom_lm.build(items, counts).tobytes()}, 1)
+    data = bloom_lm.build(items, counts).tobytes()
+    known = bloom_lm.Filter([(0, data)], len(data), 1)
     zero = np.zeros(20_000, np.int64)
     got, want = known.probe(items, zero), bloom_lm.levels(counts)
     assert (got >= want).all() and (got > want).mean() < 3 * 2.0**-bloom_lm.HASHES
