@@ -86,8 +86,12 @@ def record_run(
 
 
 def run_lookup(runs: DataFrame) -> DataFrame:
-    """Per run: first and last time stamp and the counters of its latest state."""
-    final = F.max_by(F.struct(*[c for c in runs.columns if c not in ("run_id", "timestamp")]), "timestamp")
+    """Per run: first and last time stamp and the counters of its latest state.
+
+    Of states with one time stamp the later one of processing, failed, completed counts.
+    """
+    stage = F.array_position(F.array(*[F.lit(s) for s in ("processing", "failed", "completed")]), F.col("status"))
+    final = F.max_by(F.struct(*[c for c in runs.columns if c not in ("run_id", "timestamp")]), F.struct("timestamp", stage))
     return runs.groupBy("run_id").agg(
         F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time"), final.alias("final")
     ).select("run_id", "start_time", "end_time", "final.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -19,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -37,24 +39,34 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget how it was made.
+def _shared(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.
 
-    The cluster names the folder in ``spark.checkpoint.dir``.  Only a local session may fall back
-    to a temporary folder: on a cluster a machine-local path would be lost with its executor.
+    Only a session of one process may leave it out and gets a temporary folder: on a cluster a
+    machine-local path would be lost with its executor.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="quadrivium-checkpoint-")
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and forget how it was made."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="quadrivium-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(_shared(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def output_folder(spark: SparkSession) -> str:
+    """A new folder for output that is read back, below the shared one."""
+    return f"{_shared(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers once per Spark context.
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrivium.workloads import catalog, drift, evaluation, feedback, retrieval, sessions, synthesis, texts
+from quadrivium.workloads import catalog, drift, evaluation, feedback, files, retrieval, sessions, synthesis, texts
 
-MODULES = [texts, catalog, feedback, retrieval, sessions, drift, synthesis, evaluation]
+MODULES = [texts, catalog, feedback, retrieval, sessions, drift, synthesis, evaluation, files]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
