@@ -117,12 +117,10 @@ def sentiment_replies(spark, sf):
 
 
 def rubric_means(spark, sf):
-    """Every document judged by three metrics; replies come from the labels."""
-    rubrics = [(m, "Rate {prompt}: {response}") for m in ("relevance", "coverage", "bias")]
-    rows = t.read(spark, sf, "labels").withColumn("prompt", F.lit("x")).withColumn("response", F.lit("y"))
-    judged = evaluation.rubric_prompts(rows, rubrics).withColumn(
-        "reply", F.when(F.col("toxic") == 1, F.lit("?")).otherwise((F.col("quality") * 3 + F.length("metric") % 3).cast("string"))
-    )
+    """Every document judged by three metrics; the judge of this query reads the whole prompt and replies with its length modulo 7."""
+    rubrics = [(m, m + " of {prompt}: {response}") for m in ("relevance", "coverage", "bias")]
+    rows = t.read(spark, sf, "documents").select(F.concat(F.lit("document "), F.col("doc_id").cast("string")).alias("prompt"), F.col("text").alias("response"))
+    judged = evaluation.rubric_prompts(rows, rubrics).withColumn("reply", (F.length("judge_prompt") % 7).cast("string"))
     means = evaluation.rubric_means(judged)
     return means.withColumn("mean_score", F.round("mean_score", 6))
 
@@ -201,8 +199,10 @@ SQL = {
     "sentiment_replies": """SELECT doc_id, CAST(CASE WHEN toxic = 0 AND doc_id % 7 BETWEEN 1 AND 5 THEN doc_id % 7 END AS INT) AS sentiment_score
         FROM labels""",
     "rubric_means": """
-        WITH j AS (SELECT m.metric, CASE WHEN toxic = 0 THEN quality * 3 + length(m.metric) % 3 END AS v
-                   FROM labels, (VALUES ('relevance'), ('coverage'), ('bias')) m(metric)),
-        s AS (SELECT metric, CASE WHEN v BETWEEN 1 AND 5 THEN v END AS v FROM j)
-        SELECT metric, round(avg(v), 6) AS mean_score, count(v) AS scored, count(*) - count(v) AS rejected FROM s GROUP BY metric""",
+        WITH judged AS (
+          SELECT metric, length(metric || ' of document ' || doc_id || ': ' || text) % 7 AS score
+          FROM documents, (VALUES ('relevance'), ('coverage'), ('bias')) m(metric))
+        SELECT metric, round(avg(score) FILTER (WHERE score BETWEEN 1 AND 5), 6) AS mean_score,
+               count(*) FILTER (WHERE score BETWEEN 1 AND 5) AS scored, count(*) FILTER (WHERE score NOT BETWEEN 1 AND 5) AS rejected
+        FROM judged GROUP BY metric""",
 }
