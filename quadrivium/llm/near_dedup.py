@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -194,7 +195,8 @@ def _confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFra
 def _confirmed_blocks(asks: DataFrame, homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of members (rep) with the members of other components (asks: rep, other; homes: rep, component, size).
 
-    A component's members are dealt to blocks of about ``BLOCK``, and so are those who ask for it.
+    A component's members are dealt to blocks of about ``BLOCK``, and so are those who ask for it.  One link of a block
+    is enough for each who asks: the members are connected with each other already.
     """
     asked = asks.groupBy("other").agg(F.count("*").alias("n_asks"))
     members = homes.join(asked, F.col("component") == F.col("other")).drop("component")
@@ -214,7 +216,7 @@ def _confirmed_blocks(asks: DataFrame, homes: DataFrame, sets: DataFrame, percen
         values, b, out = _numbers(table.column("shingles")), np.flatnonzero(inside), []
         for q in np.flatnonzero(~inside):
             near = b[(signs[b] != signs[q]).sum(1) <= most]
-            out += [(ids[q], ids[k]) for k in near if _alike(values[q], values[k], percent)]
+            out += [(ids[q], ids[k]) for k in islice((k for k in near if _alike(values[q], values[k], percent)), 1)]
         return pa.table([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
     return met.groupBy(*block).applyInArrow(run, "a long, b long")
