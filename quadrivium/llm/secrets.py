@@ -3,8 +3,8 @@
 Every kind of part has a pattern.  Its matches and the gaps between them (``regexp_extract_all`` and ``split``) give the
 place of each match as a running sum of lengths, linear in the text.  Base kinds stand for themselves.  Weak kinds, an
 account name, a key-like word, an endpoint, are reported only when the parts they need lie within ``SCOPE`` characters:
-parts are dealt to scopes (document, place // SCOPE) and joined as intervals, weak parts to their own and both
-neighbouring scopes, by semi joins that make no pairs.
+parts are dealt to all scopes (document, place // SCOPE) that they touch and joined as intervals, weak parts to all that
+their span and ``SCOPE`` characters on either side touch, by semi joins that make no pairs.
 
 A weak key needs an access identifier or an account; a weak account needs a secret; an endpoint needs both.
 """
@@ -68,12 +68,17 @@ def _numbers(kinds: list[str]) -> list[int]:
     return [KINDS.index(k) for k in kinds]
 
 
+def _scopes(first: Column, last: Column, scope: int) -> Column:
+    """One row for each scope from that of the place ``first`` to that of ``last``."""
+    return F.explode(F.sequence(F.floor(first / scope), F.floor(last / scope)))
+
+
 def _near(weak: DataFrame, parts: DataFrame, kinds: list[str], scope: int) -> DataFrame:
     """The rows of ``weak`` that have a part of ``kinds`` within ``scope`` characters."""
-    place = F.floor(F.col("start") / scope)
-    left = weak.withColumn("_scope", F.explode(F.array(place - 1, place, place + 1)))
+    left = weak.withColumn("_scope", _scopes(F.col("start") - scope, F.col("end") + scope, scope))
     right = parts.filter(F.col("kind").isin(_numbers(kinds))).select(
-        F.col("_id").alias("r_id"), F.col("_hash").alias("r_hash"), place.alias("r_scope"), F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+        F.col("_id").alias("r_id"), F.col("_hash").alias("r_hash"), _scopes(F.col("start"), F.col("end"), scope).alias("r_scope"),
+        F.col("start").alias("r_start"), F.col("end").alias("r_end"))
     same = left["_id"].eqNullSafe(right["r_id"]) & (left["_hash"] == right["r_hash"]) & (left["_scope"] == right["r_scope"])
     close = (F.col("r_start") - F.col("end") <= scope) & (F.col("start") - F.col("r_end") <= scope)
     return left.join(right, same & close, "left_semi").drop("_scope").distinct()
