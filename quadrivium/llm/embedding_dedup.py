@@ -79,7 +79,7 @@ def _hash(points: np.ndarray, salt: int) -> np.ndarray:
 
 
 def lattice_codes(unit: np.ndarray, salts: np.ndarray, threshold: float, tables: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Own cells (n, tables) and probed cells (n, tables, probes) of unit vectors; salts keep labels apart."""
+    """Own cells (n, tables) and probed cells (n, tables, probes) of unit vectors; salts keep labels and dimensions apart."""
     n, dim = unit.shape
     scale = SCALE * np.sqrt(max(2 - 2 * threshold, 1e-12))
     cells, others = np.empty((n, tables), np.int64), np.empty((n, tables, probes), np.int64)
@@ -186,17 +186,17 @@ def _counted(dealt: DataFrame, threshold: float, tables: int, probes: int) -> Da
             sizes = np.array([len(r) for r in raw])
             if base.all() or not base.any():
                 continue
-            rows = np.flatnonzero(sizes == sizes[np.flatnonzero(base)[0]])
-            found = _links_of_group(
-                np.array(g.column("rep").to_pylist(), object)[rows], g.column("weight").to_numpy()[rows],
-                np.stack([np.frombuffer(raw[r]) for r in rows]),
-                np.stack([np.frombuffer(c, np.int64) for c in g.column("cells").to_pylist()])[rows],
-                np.stack([np.frombuffer(c, np.int64) for c in g.column("probes").to_pylist()]).reshape(len(base), tables, probes)[rows],
-                base[rows], int(g.column("t")[0].as_py()), threshold)
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(found[0]), pa.string()), pa.array(found[1]), pa.array(list(found[2]), pa.string())],
-                    ["rep", "links", "root"])
+            rep, weight = np.array(g.column("rep").to_pylist(), object), g.column("weight").to_numpy()
+            cells = np.stack([np.frombuffer(c, np.int64) for c in g.column("cells").to_pylist()])
+            others = np.stack([np.frombuffer(c, np.int64) for c in g.column("probes").to_pylist()]).reshape(len(base), tables, probes)
+            for size in np.unique(sizes[base]):
+                rows = np.flatnonzero(sizes == size)
+                found = _links_of_group(rep[rows], weight[rows], np.stack([np.frombuffer(raw[r]) for r in rows]), cells[rows],
+                                        others[rows], base[rows], int(g.column("t")[0].as_py()), threshold)
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(found[0]), pa.string()), pa.array(found[1]), pa.array(list(found[2]), pa.string())],
+                        ["rep", "links", "root"])
 
     parts = dealt.repartition(*block).sortWithinPartitions(*block)
     return parts.mapInArrow(run, "rep string, links long, root string")
@@ -218,7 +218,7 @@ def near_vectors(vectors: DataFrame, threshold: float, id_col: str = "vec_id", v
     usable = F.coalesce(usable, F.lit(False))
     good = rows.filter(usable)
     reps = good.groupBy("label", "v").agg(F.min("id").alias("least_id"), F.count("*").alias("weight"))
-    reps = cut_lineage(reps.withColumn("salt", F.xxhash64("label")).withColumn(
+    reps = cut_lineage(reps.withColumn("salt", F.xxhash64("label", F.size("v"))).withColumn(
         "rep", F.concat_ws(":", F.hex(F.xxhash64("label", "v")), F.col("least_id").cast("string"))))
     codes = cut_lineage(_codes(reps, threshold, tables, probes))
     keyed = codes.select("rep", F.posexplode("keys").alias("_k", "key")).select(

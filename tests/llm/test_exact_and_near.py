@@ -149,3 +149,18 @@ def test_near_vectors_against_all_pairs(spark):
         count[b] += 1
     assert got == {i: (count[i], label[i], label[i] == i) for i, _, _ in rows}
     assert near_vectors(df.limit(0), 0.98).count() == 0
+
+
+def test_near_vectors_of_several_dimensions_in_one_cell(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.normal(size=dim).astype(np.float32).tolist()) for k, dim in enumerate([3, 16, 24] * 40)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit(1)), 0.5)
+    good = [(i, np.array(v, float)) for i, v in rows]
+    count = dict.fromkeys(range(len(rows)), 0)
+    for k, (a, x) in enumerate(good):
+        for b, y in good[k + 1:]:
+            if len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.5:
+                count[a] += 1
+                count[b] += 1
+    assert all(sum(count[i] for i, v in rows if len(v) == dim) for dim in (3, 16, 24))
+    assert {r.vec_id: r.n_links for r in got.collect()} == count
