@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrivium.session import cut_lineage
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that one block or task should hold; all counts of blocks follow from the input's size.
 BLOCK_BYTES = 8_000_000
@@ -32,6 +34,25 @@ def held_out(key: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % folds == 0, F.lit(False))
 
 
+def marked_rows(docs: DataFrame, id_col: str, digest: Column, marks: DataFrame) -> DataFrame:
+    """One whole row of ``docs`` for each of ``marks``: ``_kept_id, _kept_digest``, and ``_n``, how many rows have both.
+
+    Of several rows the one whose values have the smallest digest stays.
+    """
+    names = docs.columns
+    marks = cut_lineage(marks)
+    keyed = docs.withColumn("_row_digest", digest)
+    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_row_digest") == F.col("_kept_digest"))
+    repeated = marks.filter("_n > 1")
+    if repeated.isEmpty():
+        return keyed.join(marks, same, "left_semi").select(*names)
+    row = F.struct(*names)
+    one = keyed.join(marks.filter("_n = 1"), same, "left_semi").select(*names)
+    many = keyed.join(repeated, same, "left_semi").groupBy(id_col, "_row_digest").agg(
+        F.min_by(row, F.sha2(row.cast("string"), 256)).alias("_row"))
+    return one.unionByName(many.select("_row.*"))
+
+
 def blocks_for(df: DataFrame, column: str = "text", size: int = BLOCK_BYTES) -> int:
     """How many blocks of about ``size`` bytes the column's texts fill (one aggregate of one row)."""
     total = df.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"]

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrivium.llm.common import lower_ascii, whole_text
+from quadrivium.llm.common import lower_ascii, marked_rows, whole_text
 from quadrivium.session import cut_lineage
 
 SALTS = 16
@@ -65,6 +65,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that ``exact_dedup`` keeps, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One document of each class of equal texts, with all its columns: a row that ``exact_dedup`` keeps.
+
+    Of rows that repeat the winning id in the class, null or not, ``marked_rows`` picks one.
+    """
+    kept = exact_dedup(docs, id_col, text_col).filter("kept").groupBy(
+        F.col(id_col).alias("_kept_id"), F.unhex("text_sha256").alias("_kept_digest")).agg(F.count("*").alias("_n"))
+    return marked_rows(docs, id_col, F.unhex(sha256(lower_ascii(whole_text(text_col)))), kept)

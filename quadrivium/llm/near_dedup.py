@@ -17,14 +17,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrivium.llm.common import sorted_groups, text_batches, whole_text
+from quadrivium.llm.common import marked_rows, sorted_groups, text_batches, whole_text
 from quadrivium.llm.components import components
 from quadrivium.llm.words import mixed, word_hashes
 from quadrivium.session import cut_lineage, ship_package
@@ -117,16 +117,25 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def _described(rows: DataFrame, words: int) -> DataFrame:
-    """``id, n, digest, signature`` of (id, text) rows."""
+    """``id, n, digest, signature, text_digest`` of (id, text) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, rows=1000, size=1_000_000):
             sets = shingle_sets(batch.column(1), words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in signatures(sets)], pa.binary())], ["id", "n", "digest", "signature"])
+                 pa.array([s.tobytes() for s in signatures(sets)], pa.binary()), batch.column(2)], ["id", "n", "digest", "signature", "text_digest"])
 
-    return rows.mapInArrow(run, "id long, n long, digest binary, signature binary")
+    digested = rows.withColumn("text_digest", F.unhex(F.sha2("text", 256)))
+    return digested.mapInArrow(run, "id long, n long, digest binary, signature binary, text_digest binary")
+
+
+def _named(sets: DataFrame) -> DataFrame:
+    """``sets`` (digest, least) with ``rep``, a number of each set: its smallest id, or a hash where two sets share one."""
+    for name in chain([F.col("least")], (F.xxhash64("digest", F.lit(salt)) for salt in count())):
+        named = sets.withColumn("rep", name)
+        if named.groupBy("rep").count().filter("count > 1").isEmpty():
+            return named
 
 
 def _keyed(reps: DataFrame) -> DataFrame:
@@ -142,10 +151,10 @@ def _keyed(reps: DataFrame) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``rep, n, signature, sketch, shingles`` of the wanted sets (rep, digest), from their texts."""
+    """``rep, n, signature, sketch, shingles`` of the wanted sets (rep, least, digest), from their texts."""
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    found = rows.join(wanted, rows["id"] == wanted["rep"]).select("rep", "text", "digest")
+    found = rows.join(wanted, rows["id"] == wanted["least"]).select("rep", "text", "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, rows=1000, size=1_000_000):
@@ -267,24 +276,18 @@ def _asks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return parts.mapInArrow(run, "rep long, other long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ``n_shingles, component_id, kept``.
-
-    Shingles are of ``words`` words of the text with A-Z in lower case; fewer words are one shingle, none an empty set,
-    which links with nothing.  A null text is empty.  Links need 100 * intersection >= percent * union.  A component's
-    id is its smallest document id; rows that repeat an id are one document.  A row with a null id links with nothing:
-    its component is null and it is kept.  Other columns are ignored, whatever their names.
-    """
+def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: ``id, n, group, component_id, text_digest``; ``group`` is null for an empty set or a null id."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     facts = cut_lineage(_described(rows, words))
-    reps = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.max("signature").alias("signature"))
-    reps = cut_lineage(reps)
+    reps = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"), F.max("signature").alias("signature"))
+    reps = _named(cut_lineage(reps))
     key = Window.partitionBy("key")
     met = _keyed(reps).select("key", "rep", F.count("*").over(key).alias("n"), F.min("rep").over(key).alias("centre"))
     met = cut_lineage(met.filter("n > 1"))
-    wanted = met.select("rep").distinct().join(reps, "rep").select("rep", "digest")
+    wanted = met.select("rep").distinct().join(reps, "rep").select("rep", "least", "digest")
     sets = cut_lineage(_sets_of(rows, wanted, words))
     first = Window.partitionBy("b").orderBy("a")
     pairs = met.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
@@ -296,14 +299,39 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     placed = met.select("key", "rep").join(homes, "rep")
     more = _confirmed_blocks(cut_lineage(_asks(placed, sets, percent)), homes, sets, percent)
     groups = components(links.unionByName(more)).withColumnRenamed("node", "rep")
-    found = reps.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    linked = facts.filter("n > 0 AND id IS NOT NULL").join(cut_lineage(found), "digest").select("id", "n", "component_id")
-    alone = facts.filter("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(
+    found = reps.join(groups, "rep", "left").select("digest", "least", F.coalesce("component", "rep").alias("group"))
+    lowest = found.groupBy("group").agg(F.min("least").alias("component_id"))
+    found = cut_lineage(found.join(lowest, "group").select("digest", "group", "component_id"))
+    out = ["id", "n", "group", "component_id", "text_digest"]
+    linked = facts.filter("n > 0 AND id IS NOT NULL").join(found, "digest").select(*out)
+    alone = facts.filter("n = 0 OR id IS NULL").select("id", "n", F.lit(None).cast("long").alias("group"), F.col("id").alias("component_id"), "text_digest")
+    return linked.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, ``n_shingles, component_id, kept``.
+
+    Shingles are of ``words`` words of the text with A-Z in lower case; fewer words are one shingle, none an empty set,
+    which links with nothing.  A null text is empty.  Links need 100 * intersection >= percent * union.  A component's
+    id is its smallest document id; rows that repeat an id and a set are one document, different sets of one id are
+    compared like those of two.  A row with a null id links with nothing:
+    its component is null and it is kept.  Other columns are ignored, whatever their names.
+    """
+    return _grouped(docs, words, percent, id_col, text_col).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, with all its columns."""
-    kept = near_duplicates(docs, words, percent, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One document of each component, with all its columns.
+
+    Of the rows with the component's id one stays, by the smallest digest of its text, then of its values.  Empty sets of
+    one id are one document, and all rows with a null id stay.
+    """
+    rows = _grouped(docs, words, percent, id_col, text_col)
+    texts = rows.filter("id IS NOT NULL AND id = component_id").groupBy("group", "id", "text_digest").agg(F.count("*").alias("_n"))
+    # an empty set has no group: its id tells it apart
+    best = texts.groupBy("group", "id").agg(F.min(F.struct("text_digest", "_n")).alias("_b")).select(
+        F.col("id").alias("_kept_id"), F.col("_b.text_digest").alias("_kept_digest"), F.col("_b._n").alias("_n"))
+    own = docs.filter(F.col(id_col).cast("long").isNotNull())
+    nulls = docs.filter(F.col(id_col).cast("long").isNull())
+    return marked_rows(own, id_col, F.unhex(F.sha2(whole_text(text_col), 256)), best).unionByName(nulls)

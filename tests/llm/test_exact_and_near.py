@@ -164,3 +164,19 @@ def test_near_vectors_of_several_dimensions_in_one_cell(spark):
                 count[b] += 1
     assert all(sum(count[i] for i, v in rows if len(v) == dim) for dim in (3, 16, 24))
     assert {r.vec_id: r.n_links for r in got.collect()} == count
+
+
+def test_one_row_of_each_class_where_ids_repeat(spark):
+    rows = [(1, "a"), (1, "a"), (1, "A"), (2, "B"), (1, "b"), (3, "c"), (2, "C"), (None, "d"), (None, "d"), (None, "e"), (5, "e")]
+    got = sorted((r.text.lower(), r.doc_id or 0) for r in drop_copies(frame(spark, rows)).collect())
+    assert got == [("a", 1), ("b", 2), ("c", 3), ("d", 0), ("e", 5)]
+
+
+def test_near_duplicates_where_different_sets_share_an_id(spark):
+    one, two, three = (" ".join(f"{k}{n}" for n in range(60)) for k in "abc")
+    rows = [(1, one), (1, two), (7, one + " x"), (8, two + " x"), (1, one), (3, three), (3, three.upper()), (4, ""), (4, " "), (2, three + " x"), (3, "other")]
+    got = sorted((r.doc_id, r.text.lower()) for r in drop_near_duplicates(frame(spark, rows)).collect())
+    assert [g for g in got if g[0] != 4] == sorted([(1, one), (1, two), (2, three + " x"), (3, "other")])
+    assert sum(g[0] == 4 for g in got) == 1
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(frame(spark, rows)).collect()} == {
+        (1, 1), (7, 1), (8, 1), (2, 2), (3, 2), (3, 3), (4, 4)}
