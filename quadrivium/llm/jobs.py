@@ -10,9 +10,12 @@ from quadrivium.llm.bloom_lm import score_documents
 from quadrivium.llm.common import held_out
 from quadrivium.llm.embedding_dedup import near_vectors
 from quadrivium.llm.exact_dedup import exact_dedup
+from quadrivium.llm.line_dedup import dedup_lines
 from quadrivium.llm.near_dedup import near_duplicates
 from quadrivium.llm.packing import pack_documents
+from quadrivium.llm.phrases import collocations
 from quadrivium.llm.secrets import secret_digests
+from quadrivium.llm.spelling import spelling_variants
 from quadrivium.llm.token_files import round_trip
 from quadrivium.llm.unigram_counts import count_tokens
 
@@ -70,6 +73,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), shortest=6, least=5, ratio=5, typo_every=199)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = dedup_lines(table(spark, sf_dir, "documents"), least=20, min_docs=3)
+    return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), depth=3, least=10, top=2000, share=50)
+
+
 QUERIES = {
     "op1_bloom_language_model": op1_bloom_language_model,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -81,6 +97,9 @@ QUERIES = {
     "op8_compression_quality": op8_compression_quality,
     "op9_token_files": op9_token_files,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 SQL = {
@@ -117,4 +136,46 @@ SQL = {
         counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
         SELECT e.vec_id, coalesce(max(c.n), 0) AS n_links, min(r.b) AS component_id, e.vec_id = min(r.b) AS kept
         FROM embeddings e JOIN reach r ON r.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id GROUP BY e.vec_id""",
+    "op12_line_dedup": r"""
+        WITH l AS (
+          SELECT doc_id, t.p AS p, t.line AS line,
+                 translate(regexp_replace(t.line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+               LATERAL (SELECT unnest(ls) AS line, unnest(range(len(ls))) AS p) t),
+        k AS (SELECT key, max(doc_id) AS keep FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        m AS (SELECT l.*, k.key IS NOT NULL AND l.doc_id <> k.keep AS gone FROM l LEFT JOIN k ON l.key = k.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
+    "op13_collocations": r"""
+        WITH w AS (
+          SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+          FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        f AS (
+          SELECT lang, 1 AS k, g AS phrase, count(*) AS c FROM (SELECT lang, unnest(ws) AS g FROM w) GROUP BY ALL
+          UNION ALL
+          SELECT lang, 2, g, count(*) FROM (
+            SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS g FROM w WHERE len(ws) > 1) GROUP BY ALL
+          UNION ALL
+          SELECT lang, 3, g, count(*) FROM (
+            SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS g
+            FROM w WHERE len(ws) > 2) GROUP BY ALL),
+        cand AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1 AND c >= 10),
+        cuts AS (
+          SELECT lang, phrase, a, 1 AS cut, p[1] AS lp, array_to_string(p[2:], ' ') AS rp FROM cand
+          UNION ALL SELECT lang, phrase, a, 2, p[1] || ' ' || p[2], p[3] FROM cand WHERE k = 3),
+        scored AS (
+          SELECT u.lang, u.phrase, u.a, u.cut, x.c AS l, y.c AS r,
+                 (1000000::HUGEINT * u.a * u.a) // (x.c::HUGEINT * y.c) AS score
+          FROM cuts u JOIN f x ON x.lang = u.lang AND x.phrase = u.lp JOIN f y ON y.lang = u.lang AND y.phrase = u.rp),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        over AS (
+          SELECT lang, s AS phrase, max(a) AS of FROM (
+            SELECT lang, a, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS s FROM cand WHERE k = 3) GROUP BY ALL),
+        kept AS (SELECT b.* FROM best b LEFT JOIN over o USING (lang, phrase) WHERE o.of IS NULL OR 100 * o.of < 50 * b.a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept),
+        totals AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang)
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
