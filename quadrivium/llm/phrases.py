@@ -36,7 +36,7 @@ _TABLE = bytes(_TABLE)
 #: Bytes of text that are split into words at a time.
 BATCH = 8_000_000
 #: Suffixes that a task should sort, and occurrences from which a word is hot.
-SUFFIXES, HOT = 2_000_000, 500_000
+SUFFIXES, HOT = 1_000_000, 250_000
 #: Buckets for each task, so that they fall evenly.
 BUCKETS_A_TASK = 4
 
@@ -227,8 +227,8 @@ def count_phrases(rows: DataFrame, words: DataFrame, depth: int, least: int) ->
         for lang, split in list(seen):
             numbers, keys, weights = seen.pop((lang, split))
             keys, weights, names = np.concatenate(keys), np.concatenate(weights).astype(np.int64), list(numbers)
-            # a split phrase of two words has parts elsewhere, so none of its counts is too small to matter
-            for size, at, n in equal_parts(keys, weights, [1, 1] + [least] * (depth - 2) if split else [least] * depth):
+            # a split phrase that could go on has parts elsewhere, so none of its counts is too small to matter
+            for size, at, n in equal_parts(keys, weights, [1 if split else least] * (depth - 1) + [least]):
                 if size > 1:
                     phrases = [b" ".join([names[w] for w in key]) for key in keys[at, :size].tolist()]
                     yield pa.RecordBatch.from_arrays(
