@@ -6,11 +6,12 @@ at most ``2 * CHUNKS - 1`` = 27 symbols has a chunk with at most one error.  One
 leaving each symbol out in turn: the pair shares one of ``CHUNKS * CHUNK`` keys for certain.  (A pair at 0.8 exceeds 27
 in one case of 20,000, and then still has all chunks to meet in.)
 
-Members of a key are first compared with the smallest members they meet; the confirmed links make components.  What
-is left are keys whose members lie in several components.  Block by block, members whose longer sketches (``SKETCH``
-symbols) allow a link ask for the other's component, the smaller component for the larger one, and are then compared
-with its members on whole sets.  No list of the pairs of a group is made, and no link between components is lost.  Equal
-sets are one row from the start.
+Members of a key are first compared with the smallest members they meet; the confirmed links make components, whose
+smallest members in a key are then compared with that of its largest component.  What is left are keys whose members lie
+in several components.  Members outside a key's largest component ask for that component, and are compared with its
+members by longer sketches (``SKETCH`` symbols), block by block; among themselves they are compared by sketches in the
+key.  Only those whose sketches allow a link are compared with the other component's members on whole sets.  No list of
+the pairs of a group is made, and no link between components is lost.  Equal sets are one row from the start.
 """
 
 from __future__ import annotations
@@ -39,10 +40,8 @@ DEVIATIONS = 6.0
 CENTRES = 2
 #: Members of a component, and of what is compared with it, that meet in one task.
 BLOCK = 256
-#: Members of a key, and of what is looked up among them, that meet at a time.
-KEY_BLOCK = 1024
-#: Documents whose sets are compared; up to so many keys, 8 bytes each, may be broadcast to find their texts.
-BROADCAST_KEYS = 2_000_000
+#: Sketches that meet in one task, of each side.
+SKETCH_BLOCK = 4096
 
 _RNG = np.random.default_rng(7_070)
 _FACTORS = _RNG.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -152,8 +151,6 @@ def _keyed(reps: DataFrame) -> DataFrame:
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``rep, n, signature, sketch, shingles`` of the wanted sets (rep, least, digest), from their texts."""
-    if wanted.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
     found = rows.join(wanted, rows["id"] == wanted["least"]).select("rep", "text", "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,32 +228,82 @@ def _confirmed_blocks(asks: DataFrame, homes: DataFrame, sets: DataFrame, percen
     return met.groupBy(*block).applyInArrow(run, "a long, b long")
 
 
-def _asks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, other): members of a key and the larger components in it that their sketches come near to.
+def _spanning(met: DataFrame, homes: DataFrame) -> DataFrame:
+    """``key, rep, component, size, top``: members of the keys with several components; ``top`` is the key's largest."""
+    placed = met.select("key", "rep").join(homes, "rep")
+    keys = placed.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.struct("size", "component")).alias("t"))
+    keys = keys.filter("lo != hi").select("key", F.col("t.component").alias("top"))
+    return placed.join(keys, "key")
+
+
+def _lead_pairs(spanning: DataFrame) -> DataFrame:
+    """(a, b): of each key the smallest member of its largest component, and of each other one; a few for each b."""
+    leads = spanning.groupBy("key", "component", "top").agg(F.min("rep").alias("b"))
+    tops = leads.filter("component = top").select("key", F.col("b").alias("a"))
+    pairs = leads.filter("component != top").join(tops, "key").select("a", "b").distinct()
+    few = Window.partitionBy("b").orderBy("a")  # a member has SYMBOLS keys at most
+    return pairs.withColumn("_k", F.row_number().over(few)).filter(F.col("_k") <= CENTRES).drop("_k")
 
-    ``placed`` has ``key, rep, component, size``.  Only keys with several components are looked at, and in them only
-    members outside the key's largest component look among all members.  A pair that shares several keys is looked at in
-    the first of them alone.
+
+def _met_blocks(base: DataFrame, asks: DataFrame, group: str, sketches_of: DataFrame) -> DataFrame:
+    """Both sides (``group``, rep, ...) dealt to blocks: ``bi, qi, base`` and the sets' ``count, sketch``.
+
+    A group's rows fall into blocks of about SKETCH_BLOCK by a hash; each side's row meets all blocks of the other.
     """
-    keys = placed.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("n"))
-    keys = keys.filter("lo != hi").select("key", F.col("top.component").alias("top"), "n")
-    rows = placed.join(keys, "key")
-    blocks, at = F.ceil(F.col("n") / KEY_BLOCK).cast("int"), F.xxhash64("rep")
-    everywhere = F.sequence(F.lit(0), blocks - 1)
-    here = F.pmod(at, blocks).cast("int")
-    as_base = F.transform(everywhere, lambda k: F.struct(here.alias("bi"), k.alias("qi"), F.lit(1).alias("base")))
-    as_query = F.transform(everywhere, lambda k: F.struct(k.alias("bi"), here.alias("qi"), F.lit(0).alias("base")))
-    dealt = rows.select("key", "rep", "component", "size", F.explode(
-        F.when(F.col("component") != F.col("top"), F.concat(as_base, as_query)).otherwise(as_base)).alias("_p")).select(
-        "key", "rep", "component", "size", "_p.*").join(sets.select("rep", F.col("n").alias("count"), "signature", "sketch"), "rep")
+    n_base = base.groupBy(group).agg(F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("_nb"))
+    n_asks = asks.groupBy(group).agg(F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("_nq"))
+    blocks, at = n_base.join(n_asks, group), F.xxhash64("rep")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(at, F.col(n)).cast("int")
+    sides = [df.join(blocks, group).withColumn("bi", bi).withColumn("qi", qi).withColumn("base", F.lit(k))
+             for df, bi, qi, k in ((base, own("_nb"), every("_nq"), 1), (asks, every("_nb"), own("_nq"), 0))]
+    met = sides[0].unionByName(sides[1]).drop("_nb", "_nq")
+    return met.join(sketches_of, "rep")
+
+
+def _near_top(spanning: DataFrame, homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, other): members outside their key's largest component that one of its members' sketches comes near to."""
+    asks = cut_lineage(spanning.filter("component != top").select("rep", F.col("top").alias("other")).distinct())
+    base = homes.select("rep", F.col("component").alias("other")).join(asks.select("other").distinct(), "other", "left_semi")
+    met = _met_blocks(base, asks, "other", sets.select("rep", F.col("n").alias("count"), "sketch"))
+    most, block = most_differences(percent), ["other", "bi", "qi"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, block):
+            inside = table.column("base").to_numpy().astype(bool)
+            rep, count = (table.column(c).to_numpy() for c in ("rep", "count"))
+            sketch, b, found = _sketch_rows(table.column("sketch")), np.flatnonzero(inside), []
+            for q in np.flatnonzero(~inside):
+                able = b[_same_size(count[b], count[q], percent)]
+                if ((sketch[able] != sketch[q]).sum(1) <= most).any():
+                    found.append(int(rep[q]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([table.column("other")[0].as_py()] * len(found), pa.int64())], ["rep", "other"])
+
+    parts = met.repartition(*block).sortWithinPartitions(*block)
+    return parts.select("other", "bi", "qi", "base", "rep", "count", "sketch").mapInArrow(run, "rep long, other long").distinct()
+
+
+def _same_size(count: np.ndarray, other: int, percent: int) -> np.ndarray:
+    """Whether sets of so many members can be alike at all."""
+    return 100 * np.minimum(count, other) >= percent * np.maximum(count, other)
+
+
+def _near_others(spanning: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, other): members outside their key's largest component and the larger of the other components they come near to.
+
+    A pair that shares several keys is looked at in the first of them alone.
+    """
+    rest = spanning.filter("component != top").select("key", "rep", "component", "size")
+    several = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
+    rest = cut_lineage(rest.join(several.select("key"), "key", "left_semi"))
+    met = _met_blocks(rest, rest, "key", sets.select("rep", F.col("n").alias("count"), "signature", "sketch"))
     most, block = most_differences(percent), ["key", "bi", "qi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, block):
             inside = table.column("base").to_numpy().astype(bool)
-            if inside.all() or not inside.any():
-                continue
             rep, component, size, count = (table.column(c).to_numpy() for c in ("rep", "component", "size", "count"))
             sketch, b = _sketch_rows(table.column("sketch")), np.flatnonzero(inside)
             sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
@@ -264,18 +311,25 @@ def _asks(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             found = set()
             for q in np.flatnonzero(~inside):
                 able = b[(size[b] > size[q]) | ((size[b] == size[q]) & (component[b] > component[q]))]
-                low, high = np.minimum(count[able], count[q]), np.maximum(count[able], count[q])
-                able = able[100 * low >= percent * high]
+                able = able[_same_size(count[able], count[q], percent)]
                 near = able[(sketch[able] != sketch[q]).sum(1) <= most]
                 near = near[np.isin(first_shared(sign[near], sign[q]), place)]
                 found.update((int(rep[q]), int(c)) for c in np.unique(component[near]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found]), pa.array([y for _, y in found])], ["rep", "other"])
 
-    parts = dealt.repartition(*block).sortWithinPartitions(*block)
+    parts = met.repartition(*block).sortWithinPartitions(*block)
+    parts = parts.select("key", "bi", "qi", "base", "rep", "component", "size", "count", "signature", "sketch")
     return parts.mapInArrow(run, "rep long, other long").distinct()
 
 
+def _homes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``rep, component, size`` of all members; one without a link is a component."""
+    homes = members.join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
+    homes = homes.withColumn("component", F.coalesce("component", "rep"))
+    return cut_lineage(homes.join(homes.groupBy("component").agg(F.count("*").alias("size")), "component"))
+
+
 def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """One row per document: ``id, n, group, component_id, text_digest``; ``group`` is null for an empty set or a null id."""
     spark = docs.sparkSession
@@ -284,20 +338,22 @@ def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
     facts = cut_lineage(_described(rows, words))
     reps = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"), F.max("signature").alias("signature"))
     reps = _named(cut_lineage(reps))
-    key = Window.partitionBy("key")
-    met = _keyed(reps).select("key", "rep", F.count("*").over(key).alias("n"), F.min("rep").over(key).alias("centre"))
-    met = cut_lineage(met.filter("n > 1"))
-    wanted = met.select("rep").distinct().join(reps, "rep").select("rep", "least", "digest")
+    keyed = _keyed(reps)
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("centre")).filter("n > 1").drop("n")
+    met = cut_lineage(keyed.join(shared, "key"))
+    members = cut_lineage(met.select("rep").distinct())
+    wanted = members.join(reps, "rep").select("rep", "least", "digest")
     sets = cut_lineage(_sets_of(rows, wanted, words))
-    first = Window.partitionBy("b").orderBy("a")
+    first = Window.partitionBy("b").orderBy("a")  # a member has SYMBOLS keys at most
     pairs = met.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = pairs.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= CENTRES).drop("_k")
     links = cut_lineage(_confirmed_pairs(pairs, sets, percent))
-    homes = met.select("rep").distinct().join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
-    homes = homes.withColumn("component", F.coalesce("component", "rep"))
-    homes = cut_lineage(homes.join(homes.groupBy("component").agg(F.count("*").alias("size")), "component"))
-    placed = met.select("key", "rep").join(homes, "rep")
-    more = _confirmed_blocks(cut_lineage(_asks(placed, sets, percent)), homes, sets, percent)
+    pairs = _lead_pairs(_spanning(met, _homes(members, links)))
+    links = cut_lineage(links.unionByName(_confirmed_pairs(pairs, sets, percent)))
+    homes = _homes(members, links)
+    spanning = cut_lineage(_spanning(met, homes))
+    asks = _near_top(spanning, homes, sets, percent).unionByName(_near_others(spanning, sets, percent)).distinct()
+    more = _confirmed_blocks(cut_lineage(asks), homes, sets, percent)
     groups = components(links.unionByName(more)).withColumnRenamed("node", "rep")
     found = reps.join(groups, "rep", "left").select("digest", "least", F.coalesce("component", "rep").alias("group"))
     lowest = found.groupBy("group").agg(F.min("least").alias("component_id"))
