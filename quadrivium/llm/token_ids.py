@@ -1,8 +1,8 @@
-"""Token ids of whole texts through the tokenizers library, with a cache of chunks in each Python worker.
+"""Token ids of whole texts through the tokenizers library, with bounded caches in each Python worker.
 
-A text is cut where no token can cross, each distinct chunk is encoded once per worker, and a document's ids are the
-joined chunks.  The cache has two generations of at most CACHE_CHUNKS chunks: a full one becomes the old one, and what
-is met again moves back.  Its memory is bounded, and no result depends on what it holds.
+A text is cut into chunks where no token can cross, chunks into the pieces that the library's pattern makes.  Each piece
+goes to the library's model once while it is remembered; so do the joined ids of chunks.  Both caches are bounded in
+bytes, a worker keeps those of one tokenizer only, and no result depends on what they hold.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from array import array
 
 import regex
 
-CACHE_CHUNKS = 450_000
+#: Bytes of a worker's caches: ids of whole chunks, and each of two generations of pieces.
+CHUNK_BYTES, PIECE_BYTES = 28_000_000, 24_000_000
+#: What an entry takes beside its characters and ids.
+ENTRY_BYTES = 170
 CACHED_CHARS = 64
 SPACES = " \t\n\x0b\x0c\r"
 #: White space beyond ASCII that the pre-tokenizing patterns know; such texts go to the library whole.
@@ -24,8 +27,11 @@ WORD_CHUNKS = re.compile(f"[^{SPACES}]+")
 #: Punctuation that never joins a token with the letters before it.
 STOPS = frozenset(",.!?:;|")
 BYTE_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: The same classes in ASCII, after lower-casing; white space is dropped.
+#: The same classes after lower-casing; white space is dropped.  The first knows ASCII only.
 WORD_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+")
+WIDE_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Characters that compose with others, or have a lower case by rules of their own, begin here; so does white space.
+LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
 
 
 def byte_letters() -> list[str]:
@@ -37,6 +43,9 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+LETTERS = byte_letters()
+
+
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -44,32 +53,62 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+class Pieces(dict):
+    """piece -> its ids; a full generation becomes the old one, and what is met again moves back."""
+
+    def __init__(self, tokenize):
+        super().__init__()
+        self.tokenize, self.old, self.held = tokenize, {}, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("I", [t.id for t in self.tokenize(self.key(piece))]).tobytes()
+        if len(piece) <= CACHED_CHARS:
+            if self.held > PIECE_BYTES:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self[piece] = ids
+            self.held += len(piece) + len(ids) + ENTRY_BYTES
+        return ids
+
+    def key(self, piece: str) -> str:
+        """The piece in the letters of byte-level vocabularies."""
+        return piece if piece.isascii() and piece.isprintable() and " " not in piece else "".join([LETTERS[b] for b in piece.encode()])
+
+    def forget(self) -> None:
+        self.clear()
+        self.old, self.held = {}, 0
+
+
 class ChunkIds(dict):
     """chunk -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = load(path)
-        self.tokenize = self.tokenizer.model.tokenize
-        self.old: dict[str, bytes] = {}
+        self.pieces, self.held = Pieces(self.tokenizer.model.tokenize), 0
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            ids = self.encode(chunk)
+        ids = self.encode(chunk)
         if len(chunk) <= CACHED_CHARS:
-            if len(self) >= CACHE_CHUNKS:
-                self.old = dict(self)
+            if self.held > CHUNK_BYTES:
                 self.clear()
+                self.held = 0
             self[chunk] = ids
+            self.held += len(chunk) + len(ids) + ENTRY_BYTES
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
+        self.pieces.forget()
+
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def piece(self, key: str) -> bytes:
-        """Ids of one pre-tokenized piece by the model alone."""
-        return array("I", [t.id for t in self.tokenize(key)]).tobytes()
+    def joined(self, pieces: list[str]) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
     def encode(self, chunk: str) -> bytes:
         raise NotImplementedError
@@ -81,24 +120,13 @@ class ChunkIds(dict):
 class ByteLevelIds(ChunkIds):
     """Byte-level BPE with the usual pre-tokenizing pattern and no normaliser."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.letters = byte_letters()
-
-    def letter_piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isprintable():
-            return self.piece(piece.replace(" ", "Ġ"))
-        return self.piece("".join([self.letters[b] for b in piece.encode()]))
-
     def encode(self, chunk: str) -> bytes:
         body = chunk[1:] if chunk[0] == " " else chunk
         if body.isalpha():
-            return self.letter_piece(chunk)
+            return self.pieces[chunk]
         if body[-1:] in STOPS and body[:-1].isalpha():
-            return self[chunk[:-1]] + self.letter_piece(chunk[-1])
-        if "<|" in chunk:
-            return self.whole(chunk)
-        return b"".join([self.letter_piece(piece) for piece in BYTE_PIECES.findall(chunk)])
+            return self.pieces[chunk[:-1]] + self.pieces[chunk[-1]]
+        return self.whole(chunk) if "<|" in chunk else self.joined(BYTE_PIECES.findall(chunk))
 
     def ids(self, text: str) -> bytes:
         if WIDE_SPACE.search(text) or "<|" in text:
@@ -110,15 +138,16 @@ class WordIds(ChunkIds):
     """BPE with word ends over lower-cased text; white space is dropped, so chunks are its gaps."""
 
     def encode(self, chunk: str) -> bytes:
-        if not (chunk.isascii() and chunk.isprintable()) or "<|" in chunk:
+        if not LATIN.fullmatch(chunk) or "<|" in chunk:
             if chunk[-1:] in STOPS and chunk[:-1].isalpha():
-                return self[chunk[:-1]] + self[chunk[-1]]
+                return self[chunk[:-1]] + self.pieces[chunk[-1]]
             return self.whole(chunk)
-        if chunk.isalpha():
-            return self.piece(chunk.lower())
-        if chunk[-1:] in STOPS and chunk[:-1].isalpha():
-            return self[chunk[:-1]] + self[chunk[-1]]
-        return b"".join([self.piece(piece) for piece in WORD_PIECES.findall(chunk.lower())])
+        low = chunk.lower()
+        if low.isalpha():
+            return self.pieces[low]
+        if low[-1] in STOPS and low[:-1].isalpha():
+            return self.pieces[low[:-1]] + self.pieces[low[-1]]
+        return self.joined((WORD_PIECES if low.isascii() else WIDE_PIECES).findall(low))
 
     def ids(self, text: str) -> bytes:
         if "<|" in text:
@@ -130,7 +159,10 @@ _LOADED: dict[tuple[type, str], ChunkIds] = {}
 
 
 def loaded(kind: type[ChunkIds], path: str) -> ChunkIds:
-    """One instance per worker process, kept from task to task."""
+    """One instance per worker process, kept from task to task; only the one asked for last keeps its caches."""
+    for key, other in _LOADED.items():
+        if key != (kind, path):
+            other.forget()
     if (kind, path) not in _LOADED:
         _LOADED[kind, path] = kind(path)
     return _LOADED[kind, path]

@@ -1,8 +1,7 @@
 """64-bit hashes of all words of a batch of texts, without a loop over words.
 
-A word's hash is a difference of running sums of byte values times powers of an odd number, brought back to place 0 by
-a power of its inverse; all arithmetic is modulo 2**64.  Two words of a table agree by chance with a probability of
-about 2**-64.
+A word's hash is the sum of its bytes' values times powers of an odd number by their place in the word, modulo 2**64.
+Two words of a table agree by chance with a probability of about 2**-64.
 """
 
 from __future__ import annotations
@@ -16,18 +15,17 @@ _VALUES = _RNG.integers(1, 2**64, 256, dtype=np.uint64)
 _VALUES[65:91] = _VALUES[97:123]  # A-Z count as a-z
 _GAP = np.zeros(256, bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
-_POWERS: dict[int, np.ndarray] = {}
+#: Powers for words of up to so many bytes are kept; longer ones make their own.
+_KEPT = 4096
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    held = _POWERS.get(base)
-    if held is None or len(held) < n:
-        held = np.full(max(n, 1 << 20), base, np.uint64)
-        held[0] = 1
-        held = np.cumprod(held, dtype=np.uint64)
-        if n <= 1 << 22:
-            _POWERS[base] = held
-    return held[:n]
+def _powers(n: int) -> np.ndarray:
+    out = np.full(n, _ODD, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_POWERS = _powers(_KEPT)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -54,8 +52,12 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last[:-1] &= ~solid[1:]
     last[starts_at[1:] - 1] = solid[starts_at[1:] - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last)
-    sums = np.cumsum(np.where(solid, _VALUES[data] * _powers(_ODD, len(data)), np.uint64(0)), dtype=np.uint64)
-    before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
-    back = _powers(pow(_ODD, -1, 2**64), len(data))[starts]
-    counts = np.diff(np.searchsorted(starts, bounds))
-    return mixed((sums[ends] - before) * back), counts
+    if not len(starts):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    sizes = ends - starts + 1
+    heads = np.cumsum(sizes) - sizes
+    place = np.arange(heads[-1] + sizes[-1]) - np.repeat(heads, sizes)
+    longest = int(sizes.max())
+    powers = _POWERS if longest <= _KEPT else _powers(longest)
+    sums = np.add.reduceat(_VALUES[data[solid]] * powers[place], heads)
+    return mixed(sums), np.diff(np.searchsorted(starts, bounds))
