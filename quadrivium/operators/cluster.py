@@ -11,7 +11,7 @@ from quadrivium.session import cut_lineage
 
 def neighbour_counts(points: DataFrame, key: str, vector: str, eps: float, **sizes: int) -> DataFrame:
     """(key, neighbours) of every distinct vector, itself and its copies included."""
-    distinct = pairs.distinct_vectors(points, key, vector)
+    distinct = cut_lineage(pairs.distinct_vectors(points, key, vector))
     return pairs.fold_pairs(
         distinct,
         distinct,
@@ -120,7 +120,7 @@ def assign_to_clusters(
     points: DataFrame, clusters: DataFrame, key: str, vector: str, eps: float = C.DBSCAN_EPS, **sizes: int
 ) -> DataFrame:
     """(key, label, distance): label of the nearest core point, null where it is farther than ``eps``."""
-    core = (
+    core = cut_lineage(
         clusters.where("is_core")
         .groupBy("vector")
         .agg(F.min("key").alias("key"), F.min("label").alias("label"))

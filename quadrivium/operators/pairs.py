@@ -1,13 +1,9 @@
 """All-pairs vector work folded to small results per left row; pairs are never emitted.
 
-A *fold* turns the distances between a tile of left rows and a tile of right rows into a small
-state per left row (its k nearest, a minimum, a sum, a count).  Three ways of bringing tiles
-together give the same result, and the measured sizes decide:
-
-* right side small: broadcast it, map over the left side, no shuffle at all;
-* left side small: broadcast it, map over the right side, one partial state per partition;
-* neither: cut both sides into groups of bounded size and co-group the pairs of groups; folds with
-  a radius leave out pairs of groups that are too far apart to matter.
+A *fold* turns the distances between a tile of left rows and a tile of right rows into a small state per left row (its k
+nearest, a minimum, a sum, a count).  Both sides are dealt to blocks of bounded size.  Each left block asks for the right
+blocks that its index does not rule out, the right rows come to it by an equi-join on the block's number, and a task
+folds them one block after the other.  Left rows are moved once for each ``ASKS`` blocks they ask for.
 """
 
 from __future__ import annotations
@@ -21,15 +17,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quadrivium.functions.vectors import euclidean
+from quadrivium.operators import blocks
 from quadrivium.session import ship_package
 
-BROADCAST_BYTES = 64 << 20
-CELL_BYTES = 64 << 20
+#: Rows of a block, and right blocks that one task looks at.
+BLOCK_ROWS = 8192
+ASKS = 64
 LEFT_TILE = 1024
 RIGHT_TILE = 4096
-PAIRS_PER_TASK = 100_000_000
-MAX_RINGS = 512  # ring limits travel as literals; fuller rings are split by hash
+#: Pairs of rows that make a task worthwhile.
+PAIRS_PER_TASK = 20_000_000
 
 
 @dataclass
@@ -118,12 +115,16 @@ def within(left: Block, right: Block, eps: float) -> np.ndarray:
 
 
 class Fold:
-    """State per left tile; subclasses say how tiles update it and how partial rows merge.
-
-    ``radius``: pairs farther apart than this Euclidean distance do not matter (None: all do).
-    """
+    """State per left tile; subclasses say how tiles update it, how partial rows merge, and which blocks matter."""
 
+    #: Pairs farther apart than this Euclidean distance do not matter (None: all may).
     radius: float | None = None
+    #: Bounds speak of unit vectors.
+    by_angle = False
+
+    def wanted(self, least: np.ndarray, most: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Which right blocks a left block needs, by the bounds of their distances and their rows."""
+        return least <= np.inf if self.radius is None else least <= self.radius
 
     def fields(self, left_type, right_type, payload_type) -> list[T.StructField]:
         raise NotImplementedError
@@ -144,9 +145,14 @@ class Fold:
 class Nearest(Fold):
     """The ``k`` nearest right rows by cosine distance, ties by id."""
 
+    by_angle = True
+
     def __init__(self, k: int):
         self.k = k
 
+    def wanted(self, least, most, counts):
+        return least <= _reach(most, counts, self.k)
+
     def fields(self, left_type, right_type, payload_type):
         return [
             T.StructField("left_id", left_type),
@@ -195,6 +201,11 @@ class Nearest(Fold):
 class MinCosine(Fold):
     """Smallest cosine similarity to any right row."""
 
+    by_angle = True
+
+    def wanted(self, least, most, counts):
+        return most >= least.max(initial=0.0)
+
     def fields(self, left_type, right_type, payload_type):
         return [T.StructField("left_id", left_type), T.StructField("similarity", T.DoubleType())]
 
@@ -286,6 +297,9 @@ class LowestLabel(Fold):
 class NearestLabel(Fold):
     """Distance and ``payload`` of the nearest right row by Euclidean distance, ties by id."""
 
+    def wanted(self, least, most, counts):
+        return least <= _reach(most, counts, 1)
+
     def fields(self, left_type, right_type, payload_type):
         return [
             T.StructField("left_id", left_type),
@@ -378,6 +392,13 @@ class Links(Fold):
         return partial.distinct()
 
 
+def _reach(most: np.ndarray, counts: np.ndarray, k: int) -> float:
+    """A distance within which ``k`` rows lie for certain."""
+    order = np.argsort(most)
+    enough = np.flatnonzero(np.cumsum(counts[order]) >= k)
+    return most[order[enough[0]]] if len(enough) else np.inf
+
+
 def _ranks(ids: np.ndarray) -> np.ndarray:
     if len(ids) == 0:
         return np.zeros(0, np.int64)
@@ -398,19 +419,17 @@ def _emit(columns: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _narrow(df: DataFrame, key: str, vector: str, payload: str | None, side: str) -> DataFrame:
+def _narrow(df: DataFrame, key: str, vector: str, payload: str | None) -> DataFrame:
     return df.select(
-        F.col(key).alias(f"{side}_id"),
-        F.col(vector).alias(f"{side}_vector"),
-        (F.col(payload) if payload else F.lit(1).cast("int")).alias(f"{side}_payload"),
-    ).where(F.col(f"{side}_vector").isNotNull())
+        F.col(key).alias("id"), F.col(vector).alias("vector"), (F.col(payload) if payload else F.lit(1).cast("int")).alias("payload")
+    ).where(F.col("vector").isNotNull())
 
 
-def _size(df: DataFrame, side: str) -> tuple[int, int]:
-    width = F.size(f"{side}_vector")
+def _size(df: DataFrame) -> tuple[int, int]:
+    width = F.size("vector")
     row = df.agg(F.count("*").alias("n"), F.min(width).alias("low"), F.max(width).alias("high")).first()
     if row["low"] != row["high"]:
-        raise ValueError(f"{side} vectors have {row['low']} to {row['high']} components")
+        raise ValueError(f"vectors have {row['low']} to {row['high']} components")
     return row["n"], row["high"] or 0
 
 
@@ -424,155 +443,124 @@ def fold_pairs(
     left_vector: str,
     right_vector: str,
     right_payload: str | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    cell_bytes: int = CELL_BYTES,
+    block: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Fold the distances of every left row to every right row; keys must be unique per side."""
-    ship_package(left.sparkSession)
-    left = _narrow(left, left_key, left_vector, None, "left")
-    right = _narrow(right, right_key, right_vector, right_payload, "right")
-    types = [left.schema["left_id"].dataType, right.schema["right_id"].dataType, right.schema["right_payload"].dataType]
-    schema = T.StructType(fold.fields(*types))
-    n_left, dim_left = _size(left, "left")
-    n_right, dim_right = _size(right, "right")
+    """Fold the distances of every left row to every right row; keys must be unique per side.
+
+    Rows without a vector are left out.  ``left`` and ``right`` are read several times, so the caller cuts what is
+    expensive to make.
+    """
+    spark = left.sparkSession
+    ship_package(spark)
+    left, right = _narrow(left, left_key, left_vector, None), _narrow(right, right_key, right_vector, right_payload)
+    if left.schema["vector"].dataType != right.schema["vector"].dataType:
+        left, right = (df.withColumn("vector", F.col("vector").cast("array<double>")) for df in (left, right))
+    schema = T.StructType(fold.fields(*[left.schema["id"].dataType, right.schema["id"].dataType, right.schema["payload"].dataType]))
+    n_left, dim_left = _size(left)
+    n_right, dim_right = _size(right)
     if n_left and n_right and dim_left != dim_right:
         raise ValueError(f"vector sizes differ: {dim_left} and {dim_right}")
-    row_bytes = 8 * (max(dim_left, dim_right) + 2)
-    if n_right * row_bytes <= broadcast_bytes:
-        return _map_left(_balanced(left, "left_id", n_left * n_right), right, fold, schema)
-    if n_left * row_bytes <= broadcast_bytes:
-        return fold.merge(_map_right(left, _balanced(right, "right_id", n_left * n_right), fold, schema))
-    rows = max(1, cell_bytes // row_bytes)
-    if fold.radius is None:
-        a, b, cell = _hashed(left, right, -(-n_left // rows), -(-n_right // rows))
-    else:
-        a, b, cell = _ringed(left, right, fold.radius, rows, n_left)
-    return fold.merge(_cells(a, b, cell, fold, schema))
-
-
-def _balanced(df: DataFrame, key: str, pairs: int) -> DataFrame:
-    """Spread a side that is read from few files when its comparisons fill several tasks."""
-    tasks = min(-(-pairs // PAIRS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(tasks, key) if tasks > 1 and len(df.inputFiles()) < tasks else df
-
-
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)
-
-
-def _broadcast(df: DataFrame):
-    """Only called for sides whose byte size was checked."""
-    return df.sparkSession.sparkContext.broadcast(to_block(df.toArrow()))
-
-
-def _map_left(left, right, fold, schema):
-    shared, out = _broadcast(right), _arrow_schema(schema)
-
-    def run(batches):
-        whole = shared.value
-        for batch in batches:
-            for tile in to_block(batch).tiles(LEFT_TILE):
-                state = fold.start(tile)
-                for other in whole.tiles(RIGHT_TILE):
-                    state = fold.update(state, tile, other)
-                yield _emit(fold.finish(state, tile), out)
-
-    return left.mapInArrow(run, schema)
-
-
-def _map_right(left, right, fold, schema):
-    shared, out = _broadcast(left), _arrow_schema(schema)
-
-    def run(batches):
-        tiles = list(shared.value.tiles(LEFT_TILE))
-        states = [fold.start(tile) for tile in tiles]
-        seen = False
+    if not n_left or not n_right:
+        return spark.createDataFrame([], schema)
+    shape = unit if fold.by_angle else np.asarray
+    rows = [blocks.block_rows(n, dim_left, block) for n in (n_left, n_right)]
+    marks = shape(blocks.chosen(right, blocks.LANDMARKS)) if n_left > rows[0] and n_right > rows[1] else np.zeros((0, dim_left))
+    left, left_index = blocks.placed(left, n_left, rows[0], marks, shape)
+    right, right_index = blocks.placed(right, n_right, rows[1], marks, shape)
+    # a left side of one block is dealt to as many tasks as its pairs fill
+    spread = min(-(-n_left * n_right // PAIRS_PER_TASK), spark.sparkContext.defaultParallelism) if left_index is None else 1
+    left_blocks, right_blocks = len(left_index) if left_index else 1, len(right_index) if right_index else 1
+    asks = _asks(spark, fold, left_index, right_index, left_blocks, right_blocks, spread)
+    parts = -(-right_blocks // ASKS)
+    tasks = min(left_blocks * spread * parts, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    met = _meet(left, right, asks, spread, parts).repartitionById(tasks, F.pmod("group", F.lit(tasks)).cast("int"))
+    folded = met.sortWithinPartitions("group", "from").mapInArrow(_folding(fold, schema), schema)
+    return folded if parts == 1 and not isinstance(fold, Links) else fold.merge(folded)
+
+
+def _asks(spark, fold: Fold, left_index, right_index, left_blocks: int, right_blocks: int, spread: int) -> DataFrame:
+    """``own, from, part``: which right block each left block needs, and in which of its parts."""
+    shared = spark.sparkContext.broadcast((left_index, right_index)) if left_index and right_index else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for other in to_block(batch).tiles(RIGHT_TILE):
-                seen = True
-                states = [fold.update(s, tile, other) for s, tile in zip(states, tiles)]
-        if seen:
-            for state, tile in zip(states, tiles):
-                yield _emit(fold.finish(state, tile), out)
-
-    return right.mapInArrow(run, schema)
-
+            for own in batch.column(0).to_pylist():
+                need = np.arange(right_blocks)
+                if shared is not None:
+                    mine, other = shared.value
+                    least, most = mine.bounds(own, other)
+                    need = np.flatnonzero(fold.wanted(least, most, other.counts))
+                part = np.arange(len(need)) // ASKS
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(need), own, np.int32)), pa.array(need.astype(np.int32)), pa.array(part.astype(np.int32))], ["own", "from", "part"])
+
+    if left_blocks == right_blocks == 1:
+        return spark.range(spread).select(F.lit(0).alias("own"), F.lit(0).alias("from"), F.lit(0).alias("part"), F.col("id").cast("int").alias("piece"))
+    asks = spark.range(left_blocks).select(F.col("id").cast("int").alias("own")).mapInArrow(run, "own int, from int, part int")
+    return asks.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))) if spread > 1 else asks.withColumn("piece", F.lit(0))
+
+
+def _meet(left: DataFrame, right: DataFrame, asks: DataFrame, spread: int, parts: int) -> DataFrame:
+    """Rows ``group, task, from, id, vector, payload``; those of the left block have ``from`` -1 and come first in a group."""
+    group = (F.col("own").cast("long") * spread + F.col("piece")) * parts + F.col("part")
+    columns = ["group", "from", "l_id", "r_id", "vector", "payload"]
+    came = asks.join(right, F.col("from") == F.col("block")).select(
+        group.alias("group"), "from", F.lit(None).cast(left.schema["id"].dataType).alias("l_id"), F.col("id").alias("r_id"), "vector", "payload")
+    own = left.withColumn("own", F.col("block")).withColumn("piece", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))) if parts > 1 else F.lit(0))
+    own = own.select(group.alias("group"), F.lit(-1).alias("from"), F.col("id").alias("l_id"),
+                     F.lit(None).cast(right.schema["id"].dataType).alias("r_id"), "vector", F.lit(None).cast(right.schema["payload"].dataType).alias("payload"))
+    return own.select(*columns).union(came.select(*columns))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Table]]:
+    """``group, from, rows`` of rows sorted by both."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        key = np.stack([table.column(k).to_numpy() for k in (0, 1)], 1)
+        cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        for s, e in zip([0, *cuts[:-1]], cuts):
+            yield int(key[s, 0]), int(key[s, 1]), table.slice(s, e - s)
+        rest = table.slice(cuts[-1]) if len(cuts) else table
+    if rest is not None and rest.num_rows:
+        yield rest.column(0)[0].as_py(), rest.column(1)[0].as_py(), rest
+
+
+def _folding(fold: Fold, schema: T.StructType):
+    out = _arrow_schema(schema)
 
-def _hashed(left, right, left_groups, right_groups):
-    """Equal hash groups on both sides; every group meets every group of the other side."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tiles, states = None, [], []
+        for group, source, rows in _runs(batches):
+            if source < 0:
+                yield from (_emit(fold.finish(s, t), out) for s, t in zip(states, tiles))
+                held, tiles = group, list(to_block(rows.select(["l_id", "vector", "payload"])).tiles(LEFT_TILE))
+                states = [fold.start(t) for t in tiles]
+            elif group == held:  # else no left row fell into the group
+                whole = to_block(rows.select(["r_id", "vector", "payload"]))
+                for other in whole.tiles(RIGHT_TILE):
+                    states = [s if _apart(t, other, fold.radius) else fold.update(s, t, other) for s, t in zip(states, tiles)]
+        yield from (_emit(fold.finish(s, t), out) for s, t in zip(states, tiles))
 
-    def grouped(df, side, own, other, own_name, other_name):
-        return df.withColumn(own_name, F.pmod(F.xxhash64(f"{side}_id"), F.lit(own))).withColumn(
-            other_name, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other - 1).cast("long")))
-        )
+    return run
 
-    a = grouped(left, "left", left_groups, right_groups, "left_group", "right_group")
-    b = grouped(right, "right", right_groups, left_groups, "right_group", "left_group")
-    return a, b, ["left_group", "right_group"]
 
+def _apart(left: Block, right: Block, radius: float | None) -> bool:
+    """Whether no rows of two tiles can be within ``radius``, by the middle of the right one."""
+    if radius is None:
+        return False
+    middle = right.vectors.mean(0)
+    reach = np.sqrt(((right.vectors - middle) ** 2).sum(1).max())
+    gap = np.sqrt(((left.vectors - middle) ** 2).sum(1).min())
+    return gap - reach > radius + blocks.SLACK * (1.0 + gap + reach + np.abs(middle).max(initial=0.0))
 
-def _ringed(left, right, radius, rows, n_left):
-    """Groups by distance to one pivot row; only rings closer than ``radius`` meet.
 
-    By the triangle inequality two rows within ``radius`` of each other differ by no more than that
-    in their distance to the pivot.  Rings hold about ``rows`` rows each; a ring that holds more,
-    because many rows are equally far from the pivot, is split by hash.
-    """
-    pivot = [float(x) for x in right.agg(F.min_by("right_vector", "right_id")).first()[0]]
-    center = F.array(*[F.lit(x) for x in pivot])
-    left = left.withColumn("_far", euclidean("left_vector", center))
-    right = right.withColumn("_far", euclidean("right_vector", center))
-    rings = min(MAX_RINGS, max(1, -(-n_left // rows)))
-    cuts = sorted(set(left.approxQuantile("_far", [i / rings for i in range(1, rings)], 0.25 / rings))) if rings > 1 else []
-    bounds = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<double>")
-
-    def ring_of(value):
-        return F.size(F.filter(bounds, lambda c: c <= value))
-
-    def splits(df):
-        """Number of hash splits per ring, from one count per ring."""
-        counts = {r["ring"]: r["count"] for r in df.groupBy(ring_of(F.col("_far")).alias("ring")).count().collect()}
-        return [max(1, -(-counts.get(i, 0) // rows)) for i in range(len(cuts) + 1)]
-
-    left_splits, right_splits = splits(left), splits(right)
-    slack = radius + 1e-6 * (1.0 + radius)
-
-    def placed(df, side, own, other_splits, names):
-        own_count = F.element_at(F.array(*[F.lit(x) for x in own]), F.col(names[0]) + 1)
-        other_count = F.element_at(F.array(*[F.lit(x) for x in other_splits]), F.col(names[2]) + 1)
-        reach = F.sequence(ring_of(F.col("_far") - slack), ring_of(F.col("_far") + slack))
-        return (
-            df.withColumn(names[0], ring_of(F.col("_far")))
-            .withColumn(names[1], F.pmod(F.xxhash64(f"{side}_id"), own_count).cast("int"))
-            .withColumn(names[2], F.explode(reach))
-            .withColumn(names[3], F.explode(F.sequence(F.lit(0), other_count - 1)))
-            .drop("_far")
-        )
-
-    a = placed(left, "left", left_splits, right_splits, ["left_ring", "left_part", "right_ring", "right_part"])
-    b = placed(right, "right", right_splits, left_splits, ["right_ring", "right_part", "left_ring", "left_part"])
-    return a, b, ["left_ring", "left_part", "right_ring", "right_part"]
-
-
-def _cells(left, right, cell, fold, schema):
-    """Co-group the groups that meet and fold each pair of groups in one task."""
-    out = _arrow_schema(schema)
+def _arrow_schema(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    def run(one: pa.Table, two: pa.Table) -> pa.Table:
-        if one.num_rows == 0 or two.num_rows == 0:
-            return out.empty_table()
-        whole = to_block(two)
-        parts = []
-        for tile in to_block(one).tiles(LEFT_TILE):
-            state = fold.start(tile)
-            for other in whole.tiles(RIGHT_TILE):
-                state = fold.update(state, tile, other)
-            parts.append(_emit(fold.finish(state, tile), out))
-        return pa.Table.from_batches(parts, schema=out)
-
-    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(run, schema)
+    return to_arrow_schema(schema)
 
 
 def distinct_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:

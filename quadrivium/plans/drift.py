@@ -31,7 +31,7 @@ def batch_minimum(train: DataFrame, key: str, vector: str, batch: int = C.THRESH
 
 def global_minimum(train: DataFrame, key: str, vector: str, **sizes: int) -> DataFrame:
     """Smallest cosine over all pairs of distinct vectors."""
-    distinct = pairs.distinct_vectors(train, key, vector)
+    distinct = cut_lineage(pairs.distinct_vectors(train, key, vector))
     low = pairs.fold_pairs(
         distinct, distinct, pairs.MinCosine(), left_key="key", right_key="key",
         left_vector="vector", right_vector="vector", **sizes,
@@ -47,12 +47,14 @@ def thresholds(train: DataFrame, key: str, vector: str, scope: str = "batch", **
 
 
 def min_similarity(train: DataFrame, test: DataFrame, key: str, vector: str, **sizes: int) -> DataFrame:
-    """(key, similarity): smallest cosine of each test vector to any training vector."""
-    distinct = pairs.distinct_vectors(train, key, vector)
-    return pairs.fold_pairs(
+    """(key, similarity): smallest cosine of each test vector to any training vector; null without a vector."""
+    distinct = cut_lineage(pairs.distinct_vectors(train, key, vector))
+    found = pairs.fold_pairs(
         test, distinct, pairs.MinCosine(), left_key=key, right_key="key", left_vector=vector,
         right_vector="vector", **sizes,
-    ).withColumnRenamed("left_id", "key")
+    )
+    missing = test.where(F.col(vector).isNull()).select(F.col(key).alias("key"), F.lit(None).cast("double").alias("similarity"))
+    return found.withColumnRenamed("left_id", "key").unionByName(missing)
 
 
 def band_drift(similarities: DataFrame, limits: DataFrame) -> DataFrame:
@@ -99,7 +101,10 @@ def retrain_decision(drifted: DataFrame, history: DataFrame, now: Column, last_d
 
 def mean_pair_distance(train: DataFrame, key: str, vector: str, **sizes: int) -> DataFrame:
     """Mean of the full distance matrix, zero diagonal included; copies are weighted."""
-    distinct = pairs.distinct_vectors(train, key, vector)
+    return _mean_distance(cut_lineage(pairs.distinct_vectors(train.where(F.col(vector).isNotNull()), key, vector)), **sizes)
+
+
+def _mean_distance(distinct: DataFrame, **sizes: int) -> DataFrame:
     sums = pairs.fold_pairs(
         distinct, distinct, pairs.DistanceSum(), left_key="key", right_key="key", left_vector="vector",
         right_vector="vector", right_payload="copies", **sizes,
@@ -110,16 +115,20 @@ def mean_pair_distance(train: DataFrame, key: str, vector: str, **sizes: int) ->
 
 
 def distance_drift(train: DataFrame, test: DataFrame, key: str, vector: str, **sizes: int) -> DataFrame:
-    """(key, mean_distance, drifted): points at least as far from training as training is from itself."""
-    distinct = pairs.distinct_vectors(train, key, vector)
+    """(key, mean_distance, drifted): points at least as far from training as training is from itself.
+
+    A point without a vector has neither.
+    """
+    distinct = cut_lineage(pairs.distinct_vectors(train.where(F.col(vector).isNotNull()), key, vector))
     sums = pairs.fold_pairs(
         test, distinct, pairs.DistanceSum(), left_key=key, right_key="key", left_vector=vector,
         right_vector="vector", right_payload="copies", **sizes,
     )
-    n = train.where(F.col(vector).isNotNull()).agg(F.count("*").alias("n")).scalar()
-    limit = mean_pair_distance(train, key, vector, **sizes).scalar()
+    n = distinct.agg(F.sum("copies").alias("n")).scalar()
+    limit = _mean_distance(distinct, **sizes).scalar()
     means = sums.select(F.col("left_id").alias("key"), (F.col("total") / n).alias("mean_distance"))
-    return means.withColumn("drifted", F.col("mean_distance") >= limit)
+    missing = test.where(F.col(vector).isNull()).select(F.col(key).alias("key"), F.lit(None).cast("double").alias("mean_distance"))
+    return means.unionByName(missing).withColumn("drifted", F.col("mean_distance") >= limit)
 
 
 def drifted_share(points: DataFrame) -> DataFrame:

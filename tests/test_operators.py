@@ -6,13 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quadrivium.operators import cluster, keyed, ordering, pairs, score, skew
+from quadrivium.operators import blocks, cluster, keyed, ordering, pairs, score, skew
+from quadrivium.plans import drift
 
-SIZES = {
-    "broadcast right": {},
-    "broadcast left": {"broadcast_bytes": 60 * 8 * 6},
-    "cells": {"broadcast_bytes": 0, "cell_bytes": 25 * 8 * 6},
-}
+#: One block, a few, and many with several parts.
+SIZES = {"one block": {}, "left blocks": {"block": 60}, "many blocks": {"block": 7}}
 
 
 @pytest.fixture(scope="module")
@@ -74,6 +72,63 @@ def test_nearest_label(vectors, way):
     assert {i: (int(np.argmin(d[i])), 2) for i in range(50)} == got
 
 
+def clustered(seed, clusters=12, each=60, dim=8):
+    """Unit vectors in tight bunches far from each other."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dim))
+    rows = np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True), each, 0) + rng.normal(size=(clusters * each, dim)) * 0.004
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def test_bounds_hold_and_leave_out_most_blocks(spark):
+    points = clustered(3)
+    frame = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(points)], "id long, vector array<double>, payload int")
+    marks = blocks.chosen(frame, blocks.LANDMARKS)
+    rows, index = blocks.placed(frame, len(points), 40, marks, np.asarray)
+    where = {r["id"]: r["block"] for r in rows.collect()}
+    at = np.array([where[i] for i in range(len(points))])
+    gaps = distances(points, points)
+    looked = 0
+    for a in range(len(index)):
+        least, most = index.bounds(a, index)
+        for b in np.unique(at):
+            own = gaps[np.ix_(at == a, at == b)]
+            assert not own.size or (least[b] <= own.min() and own.max() <= most[b])
+        need = pairs.NeighbourCount(0.05).wanted(least, most, index.counts)
+        looked += (at == a).sum() * np.isin(at, np.flatnonzero(need)).sum()
+        nearest = pairs.Nearest(5).wanted(least, most, index.counts)
+        assert set(at[np.argsort(gaps[at == a], axis=1)[:, :5].ravel()].tolist()) <= set(np.flatnonzero(nearest).tolist())
+        farthest = pairs.MinCosine().wanted(least, most, index.counts)
+        assert set(at[gaps[at == a].argmax(1)].tolist()) <= set(np.flatnonzero(farthest).tolist())
+    assert looked < len(points) ** 2 / 5, "most pairs of blocks cannot hold neighbours"
+
+
+def test_only_wanted_blocks_are_sent(spark):
+    points = clustered(4)
+    frame = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(points)], "id long, vector array<double>, payload int")
+    sent = {}
+    for n in (360, 720):
+        part = frame.where(f"id < {n}")
+        marks = blocks.chosen(part, blocks.LANDMARKS)
+        left, index = blocks.placed(part, n, 60, marks, np.asarray)
+        asks = pairs._asks(spark, pairs.NeighbourCount(0.05), index, index, len(index), len(index), 1)
+        sent[n] = pairs._meet(left, left, asks, 1, 1).count()
+    assert sent[720] < 3 * sent[360], "rows sent follow the rows, not their square"
+
+
+def test_rows_without_vectors_and_empty_sides(spark):
+    frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "id long, v array<float>")
+    some = {r["key"]: r["similarity"] for r in drift.min_similarity(frame, frame, "id", "v").collect()}
+    assert some == {1: 0.0, 2: None, 3: 0.0}
+    far = {r["key"]: (r["mean_distance"], r["drifted"]) for r in drift.distance_drift(frame, frame, "id", "v").collect()}
+    assert far[2] == (None, None) and far[1][0] == pytest.approx(np.sqrt(2) / 2)
+    none = frame.where("id > 9")
+    args = {"left_key": "id", "right_key": "id", "left_vector": "v", "right_vector": "v"}
+    assert pairs.fold_pairs(none, frame, pairs.Nearest(2), **args).count() == pairs.fold_pairs(frame, none, pairs.Nearest(2), **args).count() == 0
+    mixed = pairs.fold_pairs(frame, frame.withColumn("v", F.col("v").cast("array<double>")), pairs.Nearest(1), **args)
+    assert {r["left_id"]: r["right_id"] for r in mixed.collect()} == {1: 1, 3: 3}
+
+
 def test_string_keys_and_dimension_check(spark):
     base = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [1.0])], "base_id string, embedding array<double>")
     queries = spark.createDataFrame([("q", [2.0, 0.0])], "query_id string, query_vector array<double>")
@@ -103,13 +158,12 @@ def py_dbscan(points, eps, low):
     return label, core
 
 
-@pytest.mark.parametrize("way", ["broadcast right", "cells"])
-def test_dbscan_against_plain_search(spark, way):
+@pytest.mark.parametrize("sizes", [{}, {"block": 9}])
+def test_dbscan_against_plain_search(spark, sizes):
     rng = np.random.default_rng(11)
     points = [rng.normal(c, 0.25, 2) for c in (0, 0, 3, 3, 6) for _ in range(12)]
     points += [np.array([1.5, 1.5 + 0.3 * i]) for i in range(8)] + [np.array([9.0, 9.0])] * 5 + [np.array([-5.0, 8.0])] * 2
     frame = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id long, v array<double>")
-    sizes = {} if way == "broadcast right" else {"broadcast_bytes": 0, "cell_bytes": 30 * 8 * 4}
     rows = cluster.dbscan(frame, "id", "v", 0.5, 5, **sizes).collect()
     want, core = py_dbscan(dict(enumerate(points)), 0.5, 5)
     assert len(rows) == len(points)
@@ -118,9 +172,8 @@ def test_dbscan_against_plain_search(spark, way):
     assert None in want.values() and len(set(want.values())) > 3
 
 
-@pytest.mark.parametrize("way", ["broadcast right", "cells"])
-def test_dbscan_keeps_key_types_and_null_vectors(spark, way):
-    sizes = {} if way == "broadcast right" else {"broadcast_bytes": 0, "cell_bytes": 4 * 8 * 3}
+@pytest.mark.parametrize("sizes", [{}, {"block": 2}])
+def test_dbscan_keeps_key_types_and_null_vectors(spark, sizes):
     rows = [("b", [0.0]), ("a", [0.1]), ("c", [0.2]), ("z", [9.0]), ("n", None)]
     found = cluster.dbscan(spark.createDataFrame(rows, "id string, v array<double>"), "id", "v", 0.25, 3, **sizes)
     assert {r["key"]: r["label"] for r in found.collect()} == {"a": "a", "b": "a", "c": "a", "z": None, "n": None}
