@@ -103,19 +103,6 @@ EVALUATION_TEMPLATES = [
     "Would you recommend {prof_name}?",
 ]
 
-# Prompt layouts of the exported records.
-INSTRUCTION_PROMPT = """
-Question:
-{query}
-Context:
-{content}
-The response should:
-1. Highlight the main topics and unique aspects of the course content.
-2. Summarize the instructor's teaching style and notable strengths or weaknesses.
-3. Clearly address potential benefits and challenges of the course, providing a straightforward recommendation as needed.
-Ensure the answer is direct, informative, and relevant to the question.
-"""
-
 # Deployment texts; callers pass their own wording.
 SYSTEM_INSTRUCTION = "You help students choose courses. Answer from the given context and do not speculate."
 NO_CONTEXT_RESPONSE = "No relevant information was found for this question."

@@ -22,66 +22,90 @@ def _grams(tokens: str, order: int):
     return F.transform(starts, lambda i: F.array_join(F.slice(F.col(tokens), i, order), " "))
 
 
-def gram_overlap(df: DataFrame, key: str, orders: list[int]) -> DataFrame:
-    """(key, n, matches, predicted, expected): clipped n-gram matches of every text pair.
+def text_pairs(df: DataFrame, key: str) -> DataFrame:
+    """(pair, key, prediction, reference, copies): each distinct row once, under a digest of its values.
 
-    Rows are placed by key before the n-grams are made, so texts travel once and the n-gram counts
-    of a pair are made where the pair already is.
+    One shuffle by digest; whatever is counted per pair afterwards finds its rows already placed.
     """
-    tokens = df.select(
-        F.col(key).alias("key"), text.words("prediction").alias("p"), text.words("reference").alias("r")
-    ).repartition("key")
-    sides = []
-    for order in orders:
-        for side, flag in (("p", 1), ("r", 0)):
-            sides.append(F.struct(F.lit(order).alias("n"), F.lit(flag).alias("side"), _grams(side, order).alias("grams")))
-    blocks = tokens.select("key", F.inline(F.array(*sides)))
-    grams = blocks.select("key", "n", "side", F.explode("grams").alias("gram"))
-    counts = grams.groupBy("key", "n", "gram").agg(
-        F.sum("side").alias("in_p"), F.sum(1 - F.col("side")).alias("in_r")
-    )
-    return counts.groupBy("key", "n").agg(
-        F.sum(F.least("in_p", "in_r")).alias("matches"), F.sum("in_p").alias("predicted"), F.sum("in_r").alias("expected")
+    rows = df.select(F.col(key).alias("key"), "prediction", "reference")
+    pair = F.md5(F.to_json(F.struct("key", "prediction", "reference")).cast("binary"))
+    first = [F.first(c).alias(c) for c in rows.columns]
+    return rows.groupBy(pair.alias("pair")).agg(*first, F.count("*").alias("copies"))
+
+
+def gram_overlap(pairs: DataFrame, orders: list[int]) -> DataFrame:
+    """(pair, key, copies, overlap): of ``text_pairs`` the clipped n-gram matches and both sides' n-grams, order by order."""
+    words = lambda c: F.coalesce(text.words(c), F.array().cast("array<string>"))
+    tokens = pairs.select("pair", "key", "copies", words("prediction").alias("p"), words("reference").alias("r"))
+    sides = [
+        F.struct(F.lit(order).alias("n"), F.lit(flag).alias("side"), _grams(side, order).alias("grams"))
+        for order in orders for side, flag in (("p", 1), ("r", 0))
+    ]
+    blocks = tokens.select("pair", "key", "copies", F.inline(F.array(*sides)))
+    grams = blocks.select("pair", "key", "copies", "n", "side", F.explode_outer("grams").alias("gram"))
+    found = F.col("gram").isNotNull().cast("long")
+    counts = grams.groupBy("pair", "key", "copies", "n", "gram").agg(
+        F.sum(F.col("side") * found).alias("in_p"), F.sum((1 - F.col("side")) * found).alias("in_r")
     )
+    def total(order, value):
+        return F.sum(F.when(F.col("n") == order, value).otherwise(0))
+
+    per_order = [
+        F.struct(
+            F.lit(order).alias("n"), total(order, F.least("in_p", "in_r")).alias("matches"),
+            total(order, F.col("in_p")).alias("predicted"), total(order, F.col("in_r")).alias("expected"),
+        )
+        for order in orders
+    ]
+    return counts.groupBy("pair", "key", "copies").agg(F.array(*per_order).alias("overlap"))
+
+
+def _each_row(found: DataFrame, *columns) -> DataFrame:
+    """A result per pair as one per row of the input."""
+    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*columns)
 
 
 def _ratio(part, whole):
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+def _fmeasure(order):
+    """F1 of one entry of ``overlap``."""
+    return _ratio(2 * order["matches"], order["predicted"] + order["expected"])
+
+
 def rouge_n(df: DataFrame, key: str, orders: list[int] | None = None) -> DataFrame:
-    """(key, n, precision, recall, fmeasure) for every pair and order; 0 where a side has no n-gram."""
-    orders = orders or [1, 2]
-    found = gram_overlap(df, key, orders)
-    wanted = df.select(F.col(key).alias("key"), F.explode(F.array(*[F.lit(n) for n in orders])).alias("n"))
-    joined = wanted.join(found, ["key", "n"], "left").fillna(0, ["matches", "predicted", "expected"])
-    precision, recall = _ratio(F.col("matches"), F.col("predicted")), _ratio(F.col("matches"), F.col("expected"))
-    total = F.col("predicted") + F.col("expected")
-    return joined.select(
-        "key", "n", precision.alias("precision"), recall.alias("recall"), _ratio(2 * F.col("matches"), total).alias("fmeasure")
+    """(key, n, precision, recall, fmeasure) for every row and order; 0 where a side has no n-gram or no text."""
+    found = gram_overlap(text_pairs(df, key), orders or [1, 2])
+    rows = _each_row(found, "key", F.explode("overlap").alias("o"))
+    o = F.col("o")
+    return rows.select(
+        "key", o["n"].alias("n"), _ratio(o["matches"], o["predicted"]).alias("precision"),
+        _ratio(o["matches"], o["expected"]).alias("recall"), _fmeasure(o).alias("fmeasure"),
     )
 
 
+def _bleu(overlap, smooth: bool):
+    """Clipped precision of the orders 1 to 4 of ``overlap`` with brevity penalty."""
+    total, possible = F.lit(0.0), F.lit(True)
+    for k in range(MAX_ORDER):
+        add = 1 if smooth and k else 0
+        hit, all_ = overlap[k]["matches"] + add, overlap[k]["predicted"] + add
+        possible = possible & (hit > 0) & (all_ > 0)
+        total = total + F.log(hit.cast("double") / F.nullif(all_, F.lit(0)))
+    predicted, expected = overlap[0]["predicted"], overlap[0]["expected"]
+    penalty = F.when(predicted >= expected, 0.0).otherwise(1.0 - expected / F.nullif(predicted, F.lit(0)))
+    return F.when(possible, F.exp(total / MAX_ORDER + penalty)).otherwise(F.lit(0.0))
+
+
 def bleu(df: DataFrame, key: str, smooth: bool = False) -> DataFrame:
-    """(key, bleu): clipped precision of orders 1 to 4 with brevity penalty.
+    """(key, bleu) of every row: clipped precision of orders 1 to 4 with brevity penalty.
 
     Without smoothing a pair that misses any order scores 0; ``smooth`` adds one to both counts of
-    orders above 1.
+    orders above 1.  A missing text has no words.
     """
-    found = gram_overlap(df, key, list(range(1, MAX_ORDER + 1)))
-    add = F.when((F.col("n") > 1) & F.lit(smooth), 1).otherwise(0)
-    hit, all_ = F.col("matches") + add, F.col("predicted") + add
-    precision = F.when((hit > 0) & (all_ > 0), F.log(hit.cast("double") / all_))
-    by_pair = found.groupBy("key").agg(
-        F.count(precision).alias("orders"),
-        F.sum(precision).alias("log_sum"),
-        F.max(F.when(F.col("n") == 1, F.col("predicted"))).alias("p_len"),
-        F.max(F.when(F.col("n") == 1, F.col("expected"))).alias("r_len"),
-    )
-    penalty = F.when(F.col("p_len") >= F.col("r_len"), 0.0).otherwise(1.0 - F.col("r_len") / F.col("p_len"))
-    value = F.when(F.col("orders") == MAX_ORDER, F.exp(F.col("log_sum") / MAX_ORDER + penalty)).otherwise(0.0)
-    scored = by_pair.select("key", value.alias("bleu"))
-    return df.select(F.col(key).alias("key")).join(scored, "key", "left").fillna(0.0, ["bleu"])
+    found = gram_overlap(text_pairs(df, key), list(range(1, MAX_ORDER + 1)))
+    return _each_row(found, "key", _bleu(F.col("overlap"), smooth).alias("bleu"))
 
 
 def exact_match(df: DataFrame, key: str) -> DataFrame:
@@ -94,26 +118,40 @@ def common_subsequence(reference: list[str], candidate: list[str]) -> list[int]:
     """Positions in ``reference`` of one longest common subsequence.
 
     Bit-parallel: one big integer per candidate word says at which reference positions the length
-    grows, so a pair costs words * words / 64 machine steps; the walk back reads those integers.
+    grows, so a pair costs words * words / 64 machine steps.  The walk back reads those integers
+    from the last candidate word to the first.  Only one in about sqrt(words) of them is kept; those
+    between two kept ones are made again when the walk comes to them.
     """
     where: dict[str, int] = {}
     for at, word in enumerate(reference):
         where[word] = where.get(word, 0) | (1 << at)
     full = (1 << len(reference)) - 1
-    flat, history = full, []
-    for word in candidate:
-        hits = flat & where.get(word, 0)
-        flat = ((flat + hits) | (flat - hits)) & full
-        history.append(flat)
-    found, i, j = [], len(reference) - 1, len(candidate) - 1
-    while i >= 0 and j >= 0:
-        if reference[i] == candidate[j]:
-            found.append(i)
-            i, j = i - 1, j - 1
-        elif not (history[j] >> i) & 1:
-            j -= 1
-        else:
-            i -= 1
+
+    def grown(flat: int, words: list[str]):
+        for word in words:
+            hits = flat & where.get(word, 0)
+            flat = ((flat + hits) | (flat - hits)) & full
+            yield flat
+
+    step = max(1, int(len(candidate) ** 0.5))
+    kept = [full]
+    for start in range(0, len(candidate), step):
+        for last in grown(kept[-1], candidate[start:start + step]):
+            pass
+        kept.append(last)
+    found, i = [], len(reference) - 1
+    for block in range(len(kept) - 2, -1, -1):
+        start = block * step
+        history = list(grown(kept[block], candidate[start:start + step]))
+        j = len(history) - 1
+        while i >= 0 and j >= 0:
+            if reference[i] == candidate[start + j]:
+                found.append(i)
+                i, j = i - 1, j - 1
+            elif not (history[j] >> i) & 1:
+                j -= 1
+            else:
+                i -= 1
     return found[::-1]
 
 
@@ -140,44 +178,53 @@ def _rouge_l(reference: list[list[str]], candidate: list[list[str]]) -> float:
     return 2.0 * hits / (n_cand + n_ref)
 
 
-def rouge_l(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
-    """(key, rouge_l): longest-common-subsequence F1, by lines when ``summary``.
+def _sentences(column: str, summary: bool):
+    lines = F.split(column, "\n") if summary else F.array(F.col(column))
+    return F.transform(lines, text.words)
+
+
+def _longest(df: DataFrame, summary: bool):
+    """F1 of the longest common subsequence of ``reference`` and ``prediction``, by lines when ``summary``.
 
     Tokens are made in the JVM; only the subsequence search runs in Python, batch by batch.
     """
     ship_package(df.sparkSession)
 
-    def sentences(column: str):
-        lines = F.split(column, "\n") if summary else F.array(F.col(column))
-        return F.transform(lines, text.words)
-
-    tokens = df.select(F.col(key).alias("key"), sentences("reference").alias("r"), sentences("prediction").alias("p"))
-
     @F.pandas_udf("double")
     def score(reference: pd.Series, prediction: pd.Series) -> pd.Series:
         def plain(value):
-            return [list(s) for s in value] if isinstance(value, (list, np.ndarray)) else []
+            return [list(s) for s in value if s is not None] if isinstance(value, (list, np.ndarray)) else []
 
         return pd.Series([_rouge_l(plain(r), plain(p)) for r, p in zip(reference, prediction)], dtype="float64")
 
-    return tokens.select("key", score("r", "p").alias("rouge_l"))
+    return score(_sentences("reference", summary), _sentences("prediction", summary))
+
+
+def rouge_l(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
+    """(key, rouge_l): longest-common-subsequence F1, by lines when ``summary``; 0 without a text."""
+    return df.select(F.col(key).alias("key"), _longest(df, summary).alias("rouge_l"))
 
 
 def mean_metrics(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
-    """(metric, value): means of the overlap scores over all pairs."""
+    """(metric, value): means of the overlap scores over all rows.
+
+    The table is read and shuffled once; n-grams of all orders and whole texts are two uses of that
+    shuffle, and each is one row of sums in the end.
+    """
     longest = "rouge_l_sum/mean" if summary else "rouge_l/mean"
-    parts = [
-        bleu(df, key).agg(F.avg("bleu").alias("value")).select(F.lit("bleu/mean").alias("metric"), "value"),
-        rouge_l(df, key, summary).agg(F.avg("rouge_l").alias("value")).select(F.lit(longest).alias("metric"), "value"),
-        rouge_n(df, key).groupBy("n").agg(F.avg("fmeasure").alias("value")).select(
-            F.concat(F.lit("rouge_"), F.col("n").cast("string"), F.lit("/mean")).alias("metric"), "value"
-        ),
-        exact_match(df, key).agg(F.avg("exact_match").alias("value")).select(F.lit("exact_match/mean").alias("metric"), "value"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    pairs = text_pairs(df, key)
+    weight = lambda c: F.sum(c * F.col("copies"))
+    overlap = F.col("overlap")
+    grams = gram_overlap(pairs, list(range(1, MAX_ORDER + 1))).agg(
+        weight(_bleu(overlap, False)).alias("bleu/mean"), weight(_fmeasure(overlap[0])).alias("rouge_1/mean"),
+        weight(_fmeasure(overlap[1])).alias("rouge_2/mean"),
+    )
+    scored = pairs.select("copies", "prediction", "reference", _longest(df, summary).alias("l"))
+    same = F.coalesce(text.strip("prediction") == text.strip("reference"), F.lit(False)).cast("double")
+    texts = scored.agg(weight(F.col("l")).alias(longest), weight(same).alias("exact_match/mean"), F.sum("copies").alias("n"))
+    both = grams.unionByName(texts, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in [*grams.columns, *texts.columns]])
+    names = [c for c in [*grams.columns, *texts.columns] if c != "n"]
+    return both.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), (F.col(f"`{c}`") / F.col("n")).alias("value")) for c in names])))
 
 
 def model_gate(current: DataFrame, best: DataFrame, metrics: list[str] | None = None) -> DataFrame:

@@ -62,7 +62,7 @@ def read_training_csv(spark: SparkSession, path: str, keep: list[str] | None = N
     return rows.drop(*[c for c in rows.columns if keep and c not in keep])
 
 
-def training_scan(df: DataFrame, limit: int | None = C.TRAINING_LIMIT, order: list[str | Column] | None = None) -> DataFrame:
+def training_scan(df: DataFrame, limit: int | None = None, order: list[str | Column] | None = None) -> DataFrame:
     """Training rows with ``question`` renamed to ``query``; the limit takes a stable order."""
     if limit is not None:
         df = df.orderBy(*(order or df.columns)).limit(limit)

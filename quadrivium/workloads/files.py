@@ -101,7 +101,7 @@ SQL = {
     "csv_round_trip": t.with_(t.REVIEWS) + """
         SELECT review_id, crn, question, md5(CASE WHEN question <> 'system' THEN '"a", ' || response || chr(10) || 'end' ELSE '' END) AS response_md5
         FROM reviews""",
-    "jsonl_round_trip": t.with_(t.DIALOGUE) + "SELECT response FROM dialogue",
+    "jsonl_round_trip": t.with_(t.DIALOGUE, t.ANSWERED) + "SELECT response FROM answered",
     "load_twice": """
         SELECT c_mktsegment, 2 * count(*) AS rows, 'appended' AS how FROM customer GROUP BY 1
         UNION ALL SELECT c_mktsegment, count(*), 'written' FROM customer GROUP BY 1""",

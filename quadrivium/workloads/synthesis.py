@@ -51,8 +51,13 @@ def training_limit(spark, sf):
     return training_scan(rows, C.TRAINING_LIMIT, ["id"])
 
 
+def training_whole(spark, sf):
+    """Every training row."""
+    return training_scan(t.dialogue(spark, sf).select("id", F.col("query").alias("question"), "context", "response"))
+
+
 def capped_run(spark, sf):
-    return synthesis.capped_per_run(t.dialogue(spark, sf).select("id", "query"), ["id"])
+    return synthesis.capped_per_run(t.dialogue(spark, sf).select("id", "query"), ["id"], C.SAMPLES_PER_RUN)
 
 
 def unique_queries(spark, sf):
@@ -128,7 +133,7 @@ def rubric_means(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in [
-        template_expand, course_questions, seed_questions, sample_entities, distinct_entities, fractional_sample, training_limit,
+        template_expand, course_questions, seed_questions, sample_entities, distinct_entities, fractional_sample, training_limit, training_whole,
         capped_run, unique_queries, training_rows, sample_counts, bias_report, bias_flagged, bias_flagged_buckets, lexicon_scores,
         sentiment_replies, rubric_means,
     ]
@@ -168,14 +173,15 @@ SQL = {
     "template_expand": _filled(C.EVALUATION_TEMPLATES, "prof_name", "(SELECT s_name AS prof_name FROM supplier)", "prof_name"),
     "course_questions": _filled(C.SEED_TEMPLATES, "course_name", "(SELECT p_name || ' ' || p_partkey AS course_name FROM part)", "course_name"),
     "seed_questions": _seed_sql(),
-    "sample_entities": f"SELECT s_name FROM supplier ORDER BY md5(s_name || '#{SEED}'), s_name LIMIT {C.BIAS_SAMPLE}",
+    "sample_entities": f"SELECT s_name FROM supplier ORDER BY md5(s_name || '#{SEED}'), s_name LIMIT 10",
     "distinct_entities": "SELECT DISTINCT split_part(text, chr(10), 1) AS course_title FROM documents",
     "fractional_sample": f"SELECT o_orderkey, o_custkey FROM orders WHERE left(md5(o_orderkey || '#{SEED}'), 8) < '{int(0.1 * 16**8):08x}'",
-    "training_limit": t.with_(t.DIALOGUE) + f"SELECT id, query, context, response FROM dialogue ORDER BY id LIMIT {C.TRAINING_LIMIT}",
-    "capped_run": t.with_(t.DIALOGUE) + f"SELECT id, query FROM dialogue ORDER BY id LIMIT {C.SAMPLES_PER_RUN + 1}",
+    "training_limit": t.with_(t.DIALOGUE) + "SELECT id, query, context, response FROM dialogue ORDER BY id LIMIT 50",
+    "training_whole": t.with_(t.DIALOGUE) + "SELECT id, query, context, response FROM dialogue",
+    "capped_run": t.with_(t.DIALOGUE) + "SELECT id, query FROM dialogue ORDER BY id LIMIT 51",
     "unique_queries": "SELECT DISTINCT md5(text) AS query_md5 FROM documents",
     "training_rows": t.with_(t.DIALOGUE) + "SELECT query AS question, context, response FROM dialogue",
-    "sample_counts": f"""
+    "sample_counts": """
         WITH runs AS (SELECT o_orderpriority AS series, o_orderkey AS run,
                 CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(floor(o_totalprice) AS BIGINT) % 200 END AS carried FROM orders),
         eras AS (SELECT *, coalesce(sum(CASE WHEN carried = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY series ORDER BY run
@@ -183,7 +189,7 @@ SQL = {
         counts AS (SELECT series, run, coalesce(sum(carried) OVER (PARTITION BY series, era ORDER BY run
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sample_count FROM eras)
         SELECT series, run, CAST(sample_count AS BIGINT) AS sample_count,
-               CASE WHEN sample_count >= {C.SAMPLE_TARGET} THEN '{synthesis.STOP}' ELSE '{synthesis.GENERATE}' END AS decision FROM counts""",
+               CASE WHEN sample_count >= 500 THEN 'stop_task' ELSE 'generate_samples' END AS decision FROM counts""",
     "bias_report": t.with_(_SCORES, _REPORT) + "SELECT dimension, key, round(mean, 6) AS mean, round(std, 6) AS std, count FROM report",
     "bias_flagged": t.with_(_SCORES, _REPORT) + "SELECT dimension, key, round(mean, 6) AS mean FROM report WHERE mean > 4 OR mean < 2",
     "bias_flagged_buckets": t.with_(_SCORES, _REPORT)

@@ -9,6 +9,7 @@ from quadrivium import constants as C
 from quadrivium.session import spread
 
 VECTOR_WIDTH = 64
+PROMPT = "Asked:\n{query}\nIt's known:\n{content}\nAnswer in two sentences.\n"
 
 
 TEXT_TABLES = ("documents", "pages", "conversations")  # heavy per row: regular expressions over whole texts
@@ -72,11 +73,11 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, query, context, response): user turns with the assistant turn that follows."""
+    """(id, query, context, response): all turns but the assistant's, with the assistant turn that follows or null."""
     turns = read(spark, sf_dir, "conversations")
-    user = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("query"))
+    user = turns.where("role <> 'assistant'").select("conv_id", "turn", F.col("text").alias("query"))
     answer = turns.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
-    return user.join(answer, ["conv_id", "turn"]).select(
+    return user.join(answer, ["conv_id", "turn"], "left").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         "query",
         F.concat(F.lit("conversation "), F.col("conv_id").cast("string")).alias("context"),
@@ -140,8 +141,9 @@ INTERACTIONS = """interactions AS (
   FROM events)"""
 DIALOGUE = """dialogue AS (
   SELECT u.conv_id * 1000 + u.turn AS id, u.text AS query, 'conversation ' || u.conv_id AS context, a.text AS response
-  FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1
-  WHERE u.role = 'user' AND a.role = 'assistant')"""
+  FROM conversations u LEFT JOIN conversations a ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  WHERE u.role <> 'assistant')"""
+ANSWERED = "answered AS (SELECT * FROM dialogue WHERE response IS NOT NULL)"
 
 
 def with_(*ctes: str) -> str:

@@ -49,7 +49,7 @@ def first_tokens(spark, sf):
 
 
 def reply_tail(spark, sf):
-    raw = F.concat(F.lit("system\nassistant\n"), "query", F.lit("\nassistant\n"), "response")
+    raw = F.concat(F.lit("system\nassistant\n"), "query", F.lit("\nassistant\n"), F.coalesce("response", F.lit("")))
     return t.dialogue(spark, sf).select("id", text.reply_tail(raw).alias("tail"))
 
 
@@ -89,12 +89,18 @@ def reply_scores(spark, sf):
 
 
 def render_prompt(spark, sf):
-    prompt = text.render(C.INSTRUCTION_PROMPT, {"query": F.col("query"), "content": F.col("response")})
+    prompt = text.render(t.PROMPT, {"query": F.col("query"), "content": F.col("response")})
     return t.dialogue(spark, sf).select("id", prompt.alias("prompt"))
 
 
 def chat_messages(spark, sf):
-    rows = training.chat_messages(t.dialogue(spark, sf).withColumn("context", F.col("response")), max_tokens=25)
+    rows = training.chat_messages(t.dialogue(spark, sf).withColumn("context", F.col("response")), max_tokens=25, template=t.PROMPT)
+    return rows.select("id", F.posexplode("messages").alias("pos", "m")).select("id", "pos", "m.role", "m.content")
+
+
+def chat_messages_whole(spark, sf):
+    """The same messages with the whole context."""
+    rows = training.chat_messages(t.dialogue(spark, sf).withColumn("context", F.col("response")), template=t.PROMPT)
     return rows.select("id", F.posexplode("messages").alias("pos", "m")).select("id", "pos", "m.role", "m.content")
 
 
@@ -103,7 +109,7 @@ QUERIES = {
     for f in [
         clean_text, clean_response, remove_punctuation, flatten_lines, pronoun_neutralise, text_properties, first_tokens,
         reply_tail, semester_name, time_stamps, reply_queries, reply_queries_first_fence, reply_scores, render_prompt,
-        chat_messages,
+        chat_messages, chat_messages_whole,
     ]
 }
 
@@ -112,7 +118,7 @@ _neutral = f"' ' || {_cleaned} || ' '"
 for _word in C.PRONOUNS:
     _neutral = f"replace({_neutral}, ' {_word} ', ' {C.NEUTRAL_TERM} ')"
 _flag = " OR ".join(f"contains(' ' || lower({_cleaned}) || ' ', ' {w} ')" for w in C.PRONOUNS)
-_head, _rest = C.INSTRUCTION_PROMPT.replace("'", "''").split("{query}")
+_head, _rest = t.PROMPT.replace("'", "''").split("{query}")
 _middle, _tail = _rest.split("{content}")
 _tokens = "list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda w: w <> '')"
 _names = list(C.SEMESTERS.values())
@@ -123,6 +129,11 @@ def _tokens_head(x: str, n: int) -> str:
     return f"array_to_string(list_slice(string_split_regex({t.sql_strip(x)}, '[{t._CLASS}]+'), 1, {n}), ' ')"
 
 
+def _messages_sql(content: str) -> str:
+    return t.with_(t.DIALOGUE) + f"""SELECT id, CAST(0 AS INT) AS pos, 'system' AS role, '{C.SYSTEM_INSTRUCTION}' AS content FROM dialogue
+        UNION ALL SELECT id, 1, 'user', '{_head}' || query || '{_middle}' || {content} || '{_tail}' FROM dialogue"""
+
+
 SQL = {
     "clean_text": f"SELECT doc_id, {_cleaned} AS cleaned FROM documents",
     # the caption runs up to the first 'sentiment score', so index, role and score words vanish
@@ -144,7 +155,7 @@ SQL = {
                round(CASE WHEN n > 0 THEN {_special} / CAST(n AS DOUBLE) ELSE 0 END, 9) AS special_share
         FROM p""",
     "first_tokens": f"SELECT doc_id, {_tokens_head('text', 40)} AS head FROM documents",
-    "reply_tail": t.with_(t.DIALOGUE) + "SELECT id, response AS tail FROM dialogue",
+    "reply_tail": t.with_(t.DIALOGUE) + "SELECT id, coalesce(response, '') AS tail FROM dialogue",
     "semester_name": f"""
         SELECT o_orderkey, list_extract({_names!r}, CAST(month(o_orderdate) % 5 + 1 AS INT)) || ' ' || year(o_orderdate) AS semester
         FROM orders""",
@@ -157,8 +168,6 @@ SQL = {
         SELECT doc_id, CASE WHEN toxic = 0 AND v BETWEEN 1 AND 5 THEN v END AS score FROM s""",
     "render_prompt": t.with_(t.DIALOGUE)
     + f"SELECT id, '{_head}' || query || '{_middle}' || response || '{_tail}' AS prompt FROM dialogue",
-    "chat_messages": t.with_(t.DIALOGUE)
-    + f"""SELECT id, CAST(0 AS INT) AS pos, 'system' AS role, '{C.SYSTEM_INSTRUCTION}' AS content FROM dialogue
-        UNION ALL
-        SELECT id, 1, 'user', '{_head}' || query || '{_middle}' || {_tokens_head('response', 25)} || '{_tail}' FROM dialogue""",
+    "chat_messages": _messages_sql(_tokens_head("coalesce(response, '')", 25)),
+    "chat_messages_whole": _messages_sql("coalesce(response, '')"),
 }

@@ -287,7 +287,7 @@ def test_retrain_needs_drift_and_trend(spark):
 
 def test_generation_cap_and_replies(spark):
     frame = spark.range(80)
-    assert synthesis.capped_per_run(frame, ["id"]).count() == 51
+    assert synthesis.capped_per_run(frame, ["id"], 50).count() == 51
     replies = spark.createDataFrame([("q", '```json{"queries": ["a", "b"]}```'), ("r", "none")], "query string, reply string")
     assert [r["new_query"] for r in synthesis.queries_from_replies(replies, "reply").collect()] == ["a", "b"]
 
@@ -300,7 +300,7 @@ def test_split_sizes(spark, n, test_rows):
     rows = spark.range(n).select(F.col("id"), F.lit("q").alias("query"))
     split = training.split_rows(rows, "id")
     assert split.where("part = 'test'").count() == test_rows and split.count() == n
-    assert training.evaluation_rows(split).count() == min(5, test_rows)
+    assert training.evaluation_rows(split, 5).count() == min(5, test_rows)
 
 
 def test_split_drops_null_rows(spark):
@@ -310,7 +310,7 @@ def test_split_drops_null_rows(spark):
 
 def test_evaluation_record_cut(spark):
     rows = spark.createDataFrame([("q", "c" * 60000, "r")], "query string, context string, response string")
-    record = json.loads(training.evaluation_jsonl(rows).first()["line"])
+    record = json.loads(training.evaluation_jsonl(rows, max_chars=50_000).first()["line"])
     assert len(record["context"]) == 50000 and record["instruction"] == "q" and record["reference"] == "r"
 
 
