@@ -13,8 +13,8 @@ from array import array
 
 import regex
 
-#: Bytes of a worker's caches: ids of whole chunks, and each of two generations of pieces.
-CHUNK_BYTES, PIECE_BYTES = 28_000_000, 24_000_000
+#: Bytes of a worker's cache of whole chunks, and of each of two generations of pieces unless a kind says otherwise.
+CHUNK_BYTES, PIECE_BYTES = 24_000_000, 28_000_000
 #: What an entry takes beside its characters and ids.
 ENTRY_BYTES = 170
 CACHED_CHARS = 64
@@ -56,16 +56,16 @@ def load(path: str):
 class Pieces(dict):
     """piece -> its ids; a full generation becomes the old one, and what is met again moves back."""
 
-    def __init__(self, tokenize):
+    def __init__(self, tokenize, most: int):
         super().__init__()
-        self.tokenize, self.old, self.held = tokenize, {}, 0
+        self.tokenize, self.most, self.old, self.held = tokenize, most, {}, 0
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             ids = array("I", [t.id for t in self.tokenize(self.key(piece))]).tobytes()
         if len(piece) <= CACHED_CHARS:
-            if self.held > PIECE_BYTES:
+            if self.held > self.most:
                 self.old, self.held = dict(self), 0
                 self.clear()
             self[piece] = ids
@@ -84,10 +84,12 @@ class Pieces(dict):
 class ChunkIds(dict):
     """chunk -> its ids as little-endian unsigned 32-bit integers."""
 
+    piece_bytes = PIECE_BYTES
+
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = load(path)
-        self.pieces, self.held = Pieces(self.tokenizer.model.tokenize), 0
+        self.pieces, self.held = Pieces(self.tokenizer.model.tokenize, self.piece_bytes), 0
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.encode(chunk)
@@ -137,6 +139,8 @@ class ByteLevelIds(ChunkIds):
 class WordIds(ChunkIds):
     """BPE with word ends over lower-cased text; white space is dropped, so chunks are its gaps."""
 
+    piece_bytes = 48_000_000  # its pieces are slow to make: the library's model searches merges up to a word's end
+
     def encode(self, chunk: str) -> bytes:
         if not LATIN.fullmatch(chunk) or "<|" in chunk:
             if chunk[-1:] in STOPS and chunk[:-1].isalpha():
