@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain, count, islice
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,8 @@ SKETCH = 198
 DEVIATIONS = 6.0
 #: Members with which each document is compared first.
 CENTRES = 2
-#: Members of a component, and of what is compared with it, that meet in one task.
-BLOCK = 256
+#: Bytes of sets of each side that meet in one task, and pairs that it compares.
+BLOCK_BYTES, BLOCK_PAIRS = 8_000_000, 4_000_000
 #: Sketches that meet in one task, of each side.
 SKETCH_BLOCK = 4096
 
@@ -198,34 +198,62 @@ def _confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _first_alike(sizes: np.ndarray, base: list[np.ndarray], asking: list[np.ndarray], percent: int) -> Iterator[int]:
+    """For each asking set the place of the first base set that is alike, or -1, by a list of owners for each value."""
+    values = np.concatenate(base)
+    order = np.argsort(values, kind="stable")
+    owner = np.repeat(np.arange(len(base)), sizes)[order]
+    known, start = np.unique(values[order], return_index=True)
+    end = np.append(start[1:], len(owner))
+    for own in asking:
+        at = np.searchsorted(known, own)
+        at[at == len(known)] = 0
+        at = at[known[at] == own]
+        both = np.zeros(len(base), np.int64)
+        if len(at):
+            both = np.bincount(np.concatenate([owner[s:e] for s, e in zip(start[at].tolist(), end[at].tolist())]), minlength=len(base))
+        good = 100 * both >= percent * (sizes + len(own) - both)
+        yield int(good.argmax()) if good.any() else -1
+
+
 def _confirmed_blocks(asks: DataFrame, homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of members (rep) with the members of other components (asks: rep, other; homes: rep, component, size).
 
-    A component's members are dealt to blocks of about ``BLOCK``, and so are those who ask for it.  One link of a block
-    is enough for each who asks: the members are connected with each other already.
+    A component's members are dealt to blocks of about ``BLOCK_BYTES``, and so are those who ask for it.  One link of a
+    block is enough for each who asks: the members are connected with each other already.
     """
-    asked = asks.groupBy("other").agg(F.count("*").alias("n_asks"))
-    members = homes.join(asked, F.col("component") == F.col("other")).drop("component")
-    nb, nq = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_asks") / BLOCK).cast("int")
-    at = F.xxhash64("rep")
-    base = members.select("rep", "other", F.pmod(at, nb).cast("int").alias("bi"), F.explode(F.sequence(F.lit(0), nq - 1)).alias("qi"), F.lit(1).alias("base"))
-    sizes = homes.select(F.col("component").alias("other"), "size").distinct()
-    dealt = asks.join(asked, "other").join(sizes, "other")
-    ask = dealt.select("rep", "other", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bi"), F.pmod(at, nq).cast("int").alias("qi"), F.lit(0).alias("base"))
-    block = ["other", "bi", "qi"]
-    met = base.unionByName(ask).join(sets.select("rep", "sketch", "shingles"), "rep")
-    most = most_differences(percent)
+    weight = sets.select("rep", (8 * F.col("n") + 64).alias("w"))
+    asked = asks.join(weight, "rep").groupBy("other").agg(F.count("*").alias("n_asks"), F.sum("w").alias("ask_bytes"))
+    members = homes.join(asked.select("other"), F.col("component") == F.col("other"), "left_semi").select("rep", F.col("component").alias("other"))
+    sizes = members.join(weight, "rep").groupBy("other").agg(F.count("*").alias("n_base"), F.sum("w").alias("base_bytes"))
+    by_bytes = lambda c: F.ceil(F.col(c) / BLOCK_BYTES)
+    nb = by_bytes("base_bytes")
+    nq = F.greatest(by_bytes("ask_bytes"), F.ceil(F.col("n_asks") * F.col("n_base") / nb / BLOCK_PAIRS))
+    blocks = asked.join(sizes, "other").select("other", nb.cast("int").alias("_nb"), nq.cast("int").alias("_nq"))
+    met = _dealt(members, asks, "other", blocks).join(sets.select("rep", "shingles"), "rep")
 
     def run(table: pa.Table) -> pa.Table:
         ids, inside = table.column("rep").to_numpy(), table.column("base").to_numpy().astype(bool)
-        signs = _sketch_rows(table.column("sketch"))
-        values, b, out = _numbers(table.column("shingles")), np.flatnonzero(inside), []
-        for q in np.flatnonzero(~inside):
-            near = b[(signs[b] != signs[q]).sum(1) <= most]
-            out += [(ids[q], ids[k]) for k in islice((k for k in near if _alike(values[q], values[k], percent)), 1)]
-        return pa.table([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+        values, b, q = _numbers(table.column("shingles")), np.flatnonzero(inside), np.flatnonzero(~inside)
+        found = []
+        if len(b) and len(q):
+            base = [values[k] for k in b]
+            first = _first_alike(np.array([len(v) for v in base]), base, [values[k] for k in q], percent)
+            found = [(ids[k], ids[b[at]]) for k, at in zip(q, first) if at >= 0]
+        return pa.table([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    return met.groupBy(*block).applyInArrow(run, "a long, b long")
+    return met.groupBy("other", "bi", "qi").applyInArrow(run, "a long, b long")
+
+
+def _dealt(base: DataFrame, asks: DataFrame, group: str, blocks: DataFrame) -> DataFrame:
+    """Rows of both sides with ``bi, qi, base``: by a hash a row falls into one of its side's blocks (``_nb``, ``_nq`` of
+    its group), and meets all blocks of the other side."""
+    at = F.xxhash64("rep")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(at, F.col(n)).cast("int")
+    sides = [df.join(blocks, group).withColumn("bi", bi).withColumn("qi", qi).withColumn("base", F.lit(k))
+             for df, bi, qi, k in ((base, own("_nb"), every("_nq"), 1), (asks, every("_nb"), own("_nq"), 0))]
+    return sides[0].unionByName(sides[1]).drop("_nb", "_nq")
 
 
 def _spanning(met: DataFrame, homes: DataFrame) -> DataFrame:
@@ -247,19 +275,10 @@ def _lead_pairs(spanning: DataFrame) -> DataFrame:
 
 
 def _met_blocks(base: DataFrame, asks: DataFrame, group: str, sketches_of: DataFrame) -> DataFrame:
-    """Both sides (``group``, rep, ...) dealt to blocks: ``bi, qi, base`` and the sets' ``count, sketch``.
-
-    A group's rows fall into blocks of about SKETCH_BLOCK by a hash; each side's row meets all blocks of the other.
-    """
+    """Both sides (``group``, rep, ...) dealt to blocks of about SKETCH_BLOCK rows, with their sets' sketches."""
     n_base = base.groupBy(group).agg(F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("_nb"))
     n_asks = asks.groupBy(group).agg(F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("_nq"))
-    blocks, at = n_base.join(n_asks, group), F.xxhash64("rep")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda n: F.pmod(at, F.col(n)).cast("int")
-    sides = [df.join(blocks, group).withColumn("bi", bi).withColumn("qi", qi).withColumn("base", F.lit(k))
-             for df, bi, qi, k in ((base, own("_nb"), every("_nq"), 1), (asks, every("_nb"), own("_nq"), 0))]
-    met = sides[0].unionByName(sides[1]).drop("_nb", "_nq")
-    return met.join(sketches_of, "rep")
+    return _dealt(base, asks, group, n_base.join(n_asks, group)).join(sketches_of, "rep")
 
 
 def _near_top(spanning: DataFrame, homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
