@@ -30,19 +30,34 @@ def _numeric(body: Column) -> Column:
     return F.when(bad, F.lit(_REPLACEMENT)).when(code.between(128, 159), western).otherwise(plain)
 
 
+def _character(body: Column) -> Column:
+    """What a reference body such as ``#233`` or ``eacute`` stands for, null for an unknown name.
+
+    The usual names are tried one by one; only the others look through the whole table.
+    """
+    char = F.when(body.startswith("#"), _numeric(body))
+    for name in ("amp", "lt", "gt", "quot", "apos", "nbsp"):
+        char = char.when(body == name, F.lit(entities.html5[f"{name};"]))
+    return char.otherwise(F.try_element_at(F.str_to_map(F.lit(_NAMES), F.lit("\x02"), F.lit("\x01")), body))
+
+
 def decode_entities(text: Column) -> Column:
-    """Numeric and named character references of any length, each decoded once; unknown names stay."""
-    chunks = F.split(text, f"(?={_REFERENCE})")
-    names = F.str_to_map(F.lit(_NAMES), F.lit("\x02"), F.lit("\x01"))
+    """Numeric and named character references of any length, each decoded once; unknown names stay.
+
+    A text's distinct references are decoded first, so one that repeats costs a look into a small map.
+    """
+    bodies = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), 1))
+    known = F.map_from_arrays(bodies, F.transform(bodies, _character))
 
-    def decoded(chunk: Column) -> Column:
+    def decoded(chunk: Column, known: Column) -> Column:
         body = F.regexp_extract(chunk, f"^{_REFERENCE}", 1)
-        rest = F.regexp_replace(chunk, f"^{_REFERENCE}", "")
-        named = F.try_element_at(names, body)
-        char = F.when(body.startswith("#"), _numeric(body)).otherwise(named)
-        return F.when((body == "") | char.isNull(), chunk).otherwise(F.concat(char, rest))
+        char = F.try_element_at(known, body)
+        return F.when((body == "") | char.isNull(), chunk).otherwise(F.concat(char, chunk.substr(F.length(body) + 3, F.length(chunk))))
 
-    return F.when(text.rlike(_REFERENCE), F.array_join(F.transform(chunks, decoded), "")).otherwise(text)
+    # a lambda's variable holds its value; a column inside a lambda would be made again for every chunk
+    once = F.array(F.struct(known.alias("known"), F.split(text, f"(?={_REFERENCE})").alias("chunks")))
+    joined = F.transform(once, lambda x: F.array_join(F.transform(x["chunks"], lambda chunk: decoded(chunk, x["known"])), ""))
+    return F.when(text.rlike(_REFERENCE), F.get(joined, F.lit(0))).otherwise(text)
 
 
 def without_comments(html: Column) -> Column:

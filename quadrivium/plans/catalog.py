@@ -58,9 +58,13 @@ def prerequisites(payloads: DataFrame) -> DataFrame:
 
 
 def enrich(catalog: DataFrame, faculty: DataFrame, description: DataFrame, prereq: DataFrame) -> DataFrame:
-    """Left joins on crn; a course without a payload keeps its row with '' or an empty list."""
+    """Left joins on crn; a course without a payload keeps its row with '' or an empty list.
+
+    Descriptions are texts, many times the size of the files they come compressed from, so they are shuffled by crn
+    and not broadcast by an estimate.
+    """
     base = catalog.drop("faculty_name", "begin_time", "end_time", "days", "course_description", "prereq")
-    joined = base.join(faculty, "crn", "left").join(description, "crn", "left").join(prereq, "crn", "left")
+    joined = base.join(faculty, "crn", "left").join(description.hint("merge"), "crn", "left").join(prereq, "crn", "left")
     blank, none = F.lit(""), F.array().cast(PREREQ_TYPE)
     return joined.select(
         *[
