@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrivium.session import cut_lineage
@@ -39,18 +37,21 @@ def marked_rows(docs: DataFrame, id_col: str, digest: Column, marks: DataFrame)
 
     Of several rows the one whose values have the smallest digest stays.
     """
-    names = docs.columns
     marks = cut_lineage(marks)
-    keyed = docs.withColumn("_row_digest", digest)
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_row_digest") == F.col("_kept_digest"))
+    keyed = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), digest.alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("_kept_id")) & (F.col("digest") == F.col("_kept_digest"))
     repeated = marks.filter("_n > 1")
     if repeated.isEmpty():
-        return keyed.join(marks, same, "left_semi").select(*names)
-    row = F.struct(*names)
-    one = keyed.join(marks.filter("_n = 1"), same, "left_semi").select(*names)
-    many = keyed.join(repeated, same, "left_semi").groupBy(id_col, "_row_digest").agg(
-        F.min_by(row, F.sha2(row.cast("string"), 256)).alias("_row"))
-    return one.unionByName(many.select("_row.*"))
+        return keyed.join(marks, same, "left_semi").select("row.*")
+    one = keyed.join(marks.filter("_n = 1"), same, "left_semi").select("row.*")
+    many = keyed.join(repeated, same, "left_semi").groupBy("id", "digest").agg(
+        F.min_by("row", F.sha2(F.col("row").cast("string"), 256)).alias("row"))
+    return one.unionByName(many.select("row.*"))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns in one struct, where no name of theirs meets a name made here."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def blocks_for(df: DataFrame, column: str = "text", size: int = BLOCK_BYTES) -> int:
@@ -59,20 +60,6 @@ def blocks_for(df: DataFrame, column: str = "text", size: int = BLOCK_BYTES) ->
     return max(1, -(-int(total or 0) // size))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder name below the shared folder of ``spark.checkpoint.dir``.
-
-    Only a session with a local master may leave that setting out; then a temporary folder is used.
-    """
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="run-shared-")
-    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def text_batches(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = 2000, size: int = 16_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches of at most ``rows`` rows and, beyond one row, about ``size`` bytes of text."""
     for batch in batches:

@@ -117,6 +117,8 @@ def _codes(reps: DataFrame, threshold: float, tables: int, probes: int) -> DataF
                 for dim in np.unique(sizes):
                     rows = np.flatnonzero(sizes == dim)
                     v = np.stack([vectors[r] for r in rows])
+                    # by a power of two, which changes no angle: squares of very large or small components stay in range
+                    v = np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
                     unit = v / np.sqrt((v * v).sum(1))[:, None]
                     cells, others = lattice_codes(unit, salts[rows], threshold, tables, probes)
                     keys = np.concatenate([cells[:, :, None], others], 2).reshape(len(rows), -1)

@@ -37,7 +37,11 @@ def cut(n: int, max_len: int) -> list[tuple[int, int]]:
 
 def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, end_id: int = END_ID,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of every document's ids followed by ``end_id``: ``doc_id, piece, start, length, ids_crc32``."""
+    """Pieces of every document's ids followed by ``end_id``: ``doc_id, piece, start, length, ids_crc32``.
+
+    Ids are whole numbers.  A null text is empty and has the end id alone; a null id is carried; repeated rows give their
+    pieces each; an empty table gives none.
+    """
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,6 +125,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, max_len: int = MAX_LEN, end_
     """Documents packed into as few sequences of at most ``max_len`` tokens as best-fit decreasing finds.
 
     A null text is empty and has the end id alone.  A null id is carried as null.  Rows that repeat an id are packed as
-    separate documents.  Other columns are ignored, whatever their names.
+    separate documents.  An empty table gives an empty result.  Ids are whole numbers.  Other columns are ignored,
+    whatever their names.
     """
     return best_fit_pack(token_pieces(docs, tokenizer, max_len, end_id, id_col, text_col), max_len)

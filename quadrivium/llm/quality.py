@@ -161,7 +161,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_rejected(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the model does not reject, with all their columns, scored row by row."""
+    """The documents that the model does not reject, with all their columns, scored row by row.
+
+    Null and empty texts have the model's prior as score.  Null ids and repeated rows are rows like any other; an empty
+    table gives an empty result; columns may have any names.
+    """
     ship_package(docs.sparkSession)
     at, text_type = docs.columns.index(text_col), docs.schema
 

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrivium.llm.common import whole_text
+from quadrivium.llm.common import whole_row, whole_text
 from quadrivium.session import cut_lineage
 
 SCOPE = 200
@@ -121,7 +121,11 @@ def _is(number: int) -> Callable[[Column], Column]:
 
 
 def secret_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """One row per document: id, ``n_assign, n_access, n_hex, base_sha256, spans``; no spans give the empty text."""
+    """One row per document: id, ``n_assign, n_access, n_hex, base_sha256, spans``; no spans give the empty text.
+
+    A null text is empty; rows that repeat an id and a text are all returned, with the same spans.  An empty table gives
+    an empty result.  Other columns are ignored, whatever their names.
+    """
     spans = find_secrets(docs, id_col, text_col, scope)
     own = spans.groupBy(F.col(id_col).alias("_span_id"), F.col("_hash").alias("_span_hash")).agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("_all"))
@@ -136,23 +140,25 @@ def secret_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]", scope: int = SCOPE) -> DataFrame:
-    """``docs`` with each run of overlapping spans in the text replaced by ``mask``; all columns and rows stay."""
-    spans = find_secrets(docs, id_col, text_col, scope)
-    key = [id_col, "_hash"]
-    order = Window.partitionBy(*key).orderBy("start", "end")
+    """``docs`` with each run of overlapping spans in the text replaced by ``mask``; all columns and rows stay.
+
+    A null text stays null and an empty one empty; a null id is an id like any other, and rows that repeat an id and a
+    text are masked alike.  An empty table gives an empty result.  Columns may have any names.
+    """
+    spans = find_secrets(docs, id_col, text_col, scope).select(F.col(id_col).alias("id"), "_hash", "start", "end")
+    order = Window.partitionBy("id", "_hash").orderBy("start", "end")  # the spans of one text
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = spans.withColumn("_new", F.when(F.col("start") <= reach, 0).otherwise(1))
-    runs = opened.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*key, "_run").agg(
+    opened = spans.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1))
+    runs = opened.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy("id", "_hash", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"))
-    own = runs.groupBy(F.col(id_col).alias("_span_id"), F.col("_hash").alias("_span_hash")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_runs"))
-    text = F.col(text_col)
-    keyed = docs.withColumn("_row_hash", F.xxhash64(whole_text(text_col)))
-    joined = keyed.join(own, keyed[id_col].eqNullSafe(F.col("_span_id")) & (F.col("_row_hash") == F.col("_span_hash")), "left")
-    before = F.transform("_runs", lambda r, k: F.concat(
-        F.substring(text, F.when(k == 0, 0).otherwise(F.element_at("_runs", F.greatest(k, F.lit(1)))["end"]).cast("int") + 1,
-                    (r["start"] - F.when(k == 0, 0).otherwise(F.element_at("_runs", F.greatest(k, F.lit(1)))["end"])).cast("int")),
-        F.lit(mask)))
-    rest = F.substring(text, F.element_at("_runs", -1)["end"].cast("int") + 1, F.length(text))
-    clean = F.when(F.col("_runs").isNull(), text).otherwise(F.concat(F.concat_ws("", before), rest))
-    return joined.select(*[clean.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    own = runs.groupBy(F.col("id").alias("span_id"), F.col("_hash").alias("span_hash")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
+    keyed = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("row_id"), F.col(text_col).alias("row_text"),
+                        F.xxhash64(whole_text(text_col)).alias("row_hash"))
+    joined = keyed.join(own, F.col("row_id").eqNullSafe(F.col("span_id")) & (F.col("row_hash") == F.col("span_hash")), "left")
+    text, last = F.col("row_text"), lambda k: F.when(k == 0, 0).otherwise(F.element_at("runs", F.greatest(k, F.lit(1)))["end"])
+    before = F.transform("runs", lambda r, k: F.concat(
+        F.substring(text, last(k).cast("int") + 1, (r["start"] - last(k)).cast("int")), F.lit(mask)))
+    rest = F.substring(text, F.element_at("runs", -1)["end"].cast("int") + 1, F.length(text))
+    clean = F.when(F.col("runs").isNull(), text).otherwise(F.concat(F.concat_ws("", before), rest))
+    return joined.select(*[clean.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -21,10 +21,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quadrivium.llm.common import blocks_for, shared_folder, text_batches, whole_text
+from quadrivium.llm.common import blocks_for, text_batches, whole_text
 from quadrivium.llm.elias_fano import EliasFano, encode
 from quadrivium.llm.token_ids import WordIds, loaded
-from quadrivium.session import cut_lineage, ship_package
+from quadrivium.session import cut_lineage, output_folder, ship_package
 
 MAGIC = b"IDEF"
 END_ID = 1
@@ -146,12 +146,13 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) ->
             for data in batch.column(0):
                 file = TokenFile(data.as_py())
                 n = len(file)
-                ends = file.ends.values().astype(np.int64)
-                starts = np.concatenate([[0], ends[:-1]])
+                ends = [file.ends.select(k) for k in range(n)]
+                starts = [0, *ends][:n]
                 keys = [None] * file.nulls + [file.least + int(k) for k in file.keys.values()]
-                ids = np.frombuffer(file.data, f"<u{file.wide}", file.n_ids, file.ends.end).astype("<u4")
-                arrays = [ids[s:e].tobytes() for s, e in zip(starts, ends)]
-                columns = [keys, [file.shard] * n, [file.part] * n, range(n), starts, ends - starts, [zlib.crc32(a) for a in arrays]]
+                ids = np.frombuffer(file.data, f"<u{file.wide}", file.n_ids, file.ends.end)
+                arrays = [ids[s:e].astype("<u4").tobytes() for s, e in zip(starts, ends)]
+                columns = [keys, [file.shard] * n, [file.part] * n, range(n), starts, [e - s for s, e in zip(starts, ends)],
+                           [zlib.crc32(a) for a in arrays]]
                 if with_ids:
                     columns.append(arrays)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
@@ -167,7 +168,7 @@ def round_trip(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: st
     An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    folder = folder or shared_folder(spark)
+    folder = folder or output_folder(spark)
     files = write_token_files(docs, tokenizer, folder, end_id, id_col, text_col)
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -77,6 +77,38 @@ def test_scores_with_and_without_broadcast(spark):
     assert bloom_lm.score_documents(frame(spark, [])).count() == 0
 
 
+def test_score_equals_the_formula_over_exact_counts(spark):
+    """The same formula in plain Python; the filter may only take a count for one of its neighbouring levels."""
+    rnd = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(rnd.choices(vocabulary, weights=range(60, 0, -1), k=rnd.randrange(40)))) for k in range(400)] + [(900, "x " * 5000), (901, None)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    tokens = {i: ["^", *words_of(t), "$"] for i, t in rows}
+    words, pairs = Counter(), Counter()
+    for i, ws in tokens.items():
+        if not held(i):
+            words.update(ws[1:])
+            pairs.update(zip(ws, ws[1:]))
+    ends = sum(not held(i) for i in tokens)
+    room = sum(words.values()) + 0.1 * (len(words) + 1)
+    level = lambda c: float(bloom_lm.LEVEL_COUNT[bloom_lm.levels(np.array([c]))[0]])
+
+    def score(ws, of):
+        total = 0.0
+        for v, w in zip(ws, ws[1:]):
+            before = float(ends) if v == "^" else of(words[v])
+            lam = bloom_lm.LAMBDA * before / (before + bloom_lm.KAPPA)
+            share = min(1.0, of(pairs[v, w]) / max(before, 1.0))
+            total += math.log10(lam * share + (1 - lam) * (of(words[w]) + 0.1) / room)
+        return total
+
+    got = {r.doc_id: r for r in bloom_lm.score_documents(frame(spark, rows)).collect()}
+    gaps = [abs(got[i].score - score(ws, level)) / got[i].n_tokens for i, ws in tokens.items()]
+    assert max(gaps) < 2 * math.log10(bloom_lm.BASE) and sum(gaps) / len(gaps) < 0.02 and sum(g < 1e-9 for g in gaps) > 10
+    bound = 2 * math.log10(bloom_lm.BASE) + 0.05  # a level's mean is off by half a level, in a word, a pair and the word before
+    assert all(abs(got[i].score - score(ws, float)) <= bound * got[i].n_tokens for i, ws in tokens.items())
+
+
 def labelled(n):
     rnd = random.Random(4)
     for k in range(n):
@@ -101,6 +133,31 @@ def test_quality_on_held_out_documents(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.predicted}
 
 
+def test_quality_follows_plain_compressed_sizes(spark):
+    """Scores from zstandard alone: sizes under both dictionaries, less an empty frame for each block, and the calibration."""
+    rows = list(labelled(300)) + [(400, "long " * 40_000, 1), (401, "é\U0001f642" * 20, 0)]
+    docs = frame(spark, [(i, t) for i, t, _ in rows] + [(7, rows[7][1])])
+    model = quality.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows[:300]], "doc_id long, quality int"))
+
+    def size(data, sizes):
+        sizes = quality.Sizes(sizes.dictionary)
+        whole, frame_bytes = sizes.of(data), sizes.compressor.compress(b"")
+        parts = [sizes.compressor.compress(data[at:at + quality.BLOCK_BYTES]) for at in range(0, len(data), quality.BLOCK_BYTES)]
+        assert whole == sum(len(p) - len(frame_bytes) for p in parts)
+        return whole
+
+    def plain(text):
+        data = text.encode()
+        good, bad = size(data, model.good), size(data, model.bad)
+        x = (np.array([(bad - good) / max(1, bad + good), good / len(data), bad / len(data)]) - model.mean) / model.scale
+        return 1 / (1 + math.exp(-(model.weights[0] + float(x @ model.weights[1:]))))
+
+    got = quality.score(docs, model).collect()
+    texts = {i: t for i, t, _ in rows}
+    assert len(got) == 303 and all(abs(r.score - plain(texts[r.doc_id])) < 1e-9 for r in got)
+    assert len({r.score for r in got if r.doc_id == 7}) == 1
+
+
 def test_quality_without_labels(spark):
     docs, none = frame(spark, [(1, "a")]), spark.createDataFrame([], "doc_id long, quality int")
     assert quality.score(docs, quality.fit(docs, none)).first().score == 0.5

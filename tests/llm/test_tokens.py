@@ -162,10 +162,12 @@ def test_packing(spark):
             at += length
         assert at <= 64
     assert len(pieces) <= -(-total // 64) * 1.05 + 1
-    ids = Tokenizer.from_file(BYTES).encode(rows[100][1], add_special_tokens=False).ids + [2]
-    own = sorted((r.start, r.length, r.ids_crc32) for r in got if r.doc_id == 100)
-    assert sum(n for _, n, _ in own) == len(ids) and all(n == 64 for _, n, _ in own[1:])
-    assert [c for _, _, c in own] == [zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes()) for s, n, _ in own]
+    lib = Tokenizer.from_file(BYTES)
+    for key, text in dict(rows).items():
+        ids = lib.encode(text or "", add_special_tokens=False).ids + [2]
+        own = sorted({(r.start, r.length, r.ids_crc32) for r in got if r.doc_id == key})
+        assert sum(n for _, n, _ in own) == len(ids) and all(n == 64 for _, n, _ in own[1:])
+        assert [c for _, _, c in own] == [zlib.crc32(np.array(ids[s:s + n], "<u4").tobytes()) for s, n, _ in own]
     assert pack_documents(frame(spark, []), BYTES).count() == 0
 
 
@@ -176,3 +178,17 @@ def test_one_length_is_numbered_in_buckets(spark, monkeypatch):
     pieces = spark.range(300).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "5L AS length", "id AS ids_crc32")
     got = best_fit_pack(pieces, 16).collect()
     assert len({(r.sequence_id, r.offset) for r in got}) == 300 and len({r.sequence_id for r in got}) == 100
+
+
+def test_very_long_texts(spark, scratch):
+    long = "very long words and numbers 12345 éÀ " * 20_000
+    rows = [(1, long), (2, "x" * 30_000), (3, None)]
+    lib = Tokenizer.from_file(WORDS)
+    got = {r.doc_id: r for r in token_files.round_trip(frame(spark, rows), WORDS, folder=scratch).collect()}
+    for i, t in rows:
+        ids = np.array(lib.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
+        assert (got[i].n_tokens, got[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+    ids = Tokenizer.from_file(BYTES).encode(long, add_special_tokens=False).ids + [2]
+    own = [r for r in pack_documents(frame(spark, rows), BYTES).collect() if r.doc_id == 1]
+    assert sum(r.length for r in own) == len(ids)
+    assert {r.ids_crc32 for r in own} == {zlib.crc32(np.array(ids[r.start:r.start + r.length], "<u4").tobytes()) for r in own}
