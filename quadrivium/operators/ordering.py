@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quadrivium.session import cut_lineage
+
+#: Rows of a range that one task sums.
+RANGE_ROWS = 1_000_000
+
 
 def digest(key: Column | str, seed: int | str) -> Column:
     """Seeded md5 of a key: the stable stand-in for a random order."""
@@ -49,6 +54,20 @@ def running_totals(
     return joined.select(*df.columns, *[(F.col(name) + F.col(f"_c_{name}")).alias(name) for name in values])
 
 
+def ranged_totals(df: DataFrame, *, partition: list[str], order: list[str], values: dict[str, Column], rows: int = RANGE_ROWS, **how) -> DataFrame:
+    """Running sums for any number of distinct values: rows are cut into ranges of about ``rows`` rows of the whole order.
+
+    A range is a shuffle partition, so a partition that holds much of the table spreads over many.  Which row is in which
+    range depends on a sample, so the placed rows are written once before their ranges' totals are taken.
+    """
+    ranges = -(-df.count() // rows)
+    if ranges <= 1:
+        placed = df.withColumn("_range", F.lit(0))
+    else:
+        placed = cut_lineage(df.repartitionByRange(ranges, *partition, *order).withColumn("_range", F.spark_partition_id()))
+    return running_totals(placed, partition=partition, bucket="_range", order=order, values=values, **how).drop("_range")
+
+
 def exact_position(df: DataFrame, key: str, seed: int | str, name: str = "position", digits: int = 3) -> DataFrame:
     """1-based position of every row in seeded digest order of a unique key.
 

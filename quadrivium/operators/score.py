@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,12 +78,21 @@ def lexicon_sentiment(df: DataFrame, key: str, column: str, lexicon: DataFrame)
 def embed(df: DataFrame, column: str, output: str = "embedding", dim: int = C.VECTOR_DIM, embedder=None) -> DataFrame:
     """Add a unit-length vector column.
 
-    The default hashes the words of the text into ``dim`` term counts; ``embedder`` replaces it by
-    a caller's column function (a ``predict_batch_udf``, for instance).
+    The default adds a signed unit for each word at a place, both taken from the word's md5: the first eight hex digits
+    modulo ``dim`` and the parity of the ninth.  A text without words, or whose words cancel out, gives zeros.
+    ``embedder`` replaces it by a caller's column function (a ``predict_batch_udf``, for instance).
     """
     if embedder is not None:
         return df.withColumn(output, embedder(F.col(column)))
-    work = df.withColumn("_words", text.words(column))
-    counted = HashingTF(numFeatures=dim, inputCol="_words", outputCol="_counts").transform(work)
-    scaled = Normalizer(p=2.0, inputCol="_counts", outputCol="_unit").transform(counted)
-    return scaled.withColumn(output, vector_to_array("_unit", "float32")).drop("_words", "_counts", "_unit")
+    digest = lambda w: F.md5(w.cast("binary"))
+    number = lambda h, at, n: F.conv(F.substring(h, at, n), 16, 10).cast("long")
+    # places from 0 for a plus, from ``dim`` for a minus
+    place = lambda h: (number(h, 1, 8) % dim + F.when(number(h, 9, 1) % 2 == 1, dim).otherwise(0)).cast("string")
+    terms = F.transform(F.transform(F.coalesce(text.words(column), F.array().cast("array<string>")), digest), place)
+    counter = CountVectorizerModel.from_vocabulary([str(k) for k in range(2 * dim)], "_terms", "_counts")
+    counted = counter.transform(df.withColumn("_terms", terms)).withColumn("_both", vector_to_array("_counts"))
+    signed = F.zip_with(F.slice("_both", 1, dim), F.slice("_both", dim + 1, dim), lambda x, y: x - y)
+    length = F.sqrt(F.aggregate("_signed", F.lit(0.0), lambda a, x: a + x * x))
+    unit = counted.withColumn("_signed", signed).withColumn("_length", length)
+    scaled = F.transform("_signed", lambda x: F.when(F.col("_length") > 0, x / F.col("_length")).otherwise(x))
+    return unit.withColumn(output, scaled).drop("_terms", "_counts", "_both", "_signed", "_length")

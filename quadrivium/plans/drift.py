@@ -9,7 +9,7 @@ from quadrivium import constants as C
 from quadrivium.functions import text, vectors
 from quadrivium.operators import cluster, pairs
 from quadrivium.operators.keyed import append_rows
-from quadrivium.operators.ordering import exact_position, running_totals
+from quadrivium.operators.ordering import exact_position, ranged_totals
 from quadrivium.session import cut_lineage
 from quadrivium.sources import schemas
 
@@ -148,11 +148,11 @@ def density_drift(
     )
 
 
-def property_drift(train: DataFrame, test: DataFrame, column: str, threshold: float = C.PROPERTY_DRIFT, buckets: int = 64) -> DataFrame:
+def property_drift(train: DataFrame, test: DataFrame, column: str, threshold: float = C.PROPERTY_DRIFT, **ranges: int) -> DataFrame:
     """(property, drift_score, drifted): two-sample Kolmogorov-Smirnov distance per text property.
 
-    Texts shrink to counts per distinct property value first.  The values are then cut into
-    buckets at approximate quantiles; the cuts only balance the work, the score is exact.
+    Texts shrink to counts per distinct property value first.  The values are then summed range by range, as many
+    ranges as there are values to fill them.
     """
     def long(df: DataFrame, side: str) -> DataFrame:
         rows = F.array(*[F.struct(F.lit(n).alias("property"), v.alias("value")) for n, v in text.text_properties(column).items()])
@@ -164,17 +164,9 @@ def property_drift(train: DataFrame, test: DataFrame, column: str, threshold: fl
         F.sum("is_train").alias("train_rows"), F.sum("is_test").alias("test_rows")
     )
     counts = cut_lineage(counts)
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = counts.groupBy("property").agg(F.percentile_approx("value", cuts, 1000).alias("bounds"))
-    # one row per property, five in all
-    bucketed = counts.join(F.broadcast(bounds), "property").withColumn(
-        "bucket", F.size(F.filter("bounds", lambda b: b <= F.col("value")))
-    )
-    bucketed = cut_lineage(bucketed.drop("bounds"))
-    summed = running_totals(
-        bucketed, partition=["property"], bucket="bucket", order=["value"],
-        values={"train_below": F.col("train_rows"), "test_below": F.col("test_rows")},
-        few_buckets=True,  # at most ``buckets`` per property
+    summed = ranged_totals(
+        counts, partition=["property"], order=["value"],
+        values={"train_below": F.col("train_rows"), "test_below": F.col("test_rows")}, **ranges,
     )
     gap = F.max_by(F.struct("train_below", "test_below"), "value")
     totals = summed.groupBy("property").agg(gap.alias("t"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quadrivium import constants as C
@@ -61,6 +61,26 @@ def run_counters(reviews: DataFrame, courses: DataFrame) -> DataFrame:
     )
 
 
+def write_counted(reviews: DataFrame, path: str) -> DataFrame:
+    """Write the reviews that have a response; one row of the counts that the write itself observed.
+
+    The rows are read once: the counts are taken from what passes by on its way to the files.
+    """
+    seen = Observation("run counters")
+    watched = reviews.observe(
+        seen,
+        F.count("*").alias("raw_reviews_count"),
+        F.count("response").alias("processed_reviews_count"),
+        F.count_if(F.col("response").isNull()).alias("null_responses_removed"),
+        F.count_if(text.has_pronoun(text.clean_text("response"))).alias("sensitive_data_flags"),
+    )
+    # the filter stays above the observed rows
+    drop_null_responses(watched).write.mode("overwrite").parquet(path)
+    counts = seen.get
+    names = ["raw_reviews_count", "processed_reviews_count", "null_responses_removed", "sensitive_data_flags"]
+    return reviews.sparkSession.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
 def growth_trigger(new: DataFrame, existing: DataFrame, ratio: float = C.GROWTH_RATIO) -> DataFrame:
     """Whether the new rows exceed a share of the existing ones."""
     counts = new.agg(F.count("*").alias("new_rows")).withColumn(

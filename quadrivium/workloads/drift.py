@@ -146,10 +146,14 @@ def density_drift(spark, sf):
 
 
 def text_embedding(spark, sf):
-    """Hashed word vectors of whole documents; SQL follows their size and length, not the hashes."""
+    """Hashed word vectors of whole documents: their size, length and a digest of all components."""
     rows = score.embed(t.read(spark, sf, "documents"), "text", "vector", 256)
-    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return rows.select("doc_id", F.size("vector").alias("dim"), F.round(F.sqrt(square), 4).alias("norm"))
+    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    parts = F.transform("vector", lambda x: F.round(x * 1_000_000).cast("long").cast("string"))
+    return rows.select(
+        "doc_id", F.size("vector").alias("dim"), F.round(F.sqrt(square), 4).alias("norm"),
+        F.md5(F.array_join(parts, ",").cast("binary")).alias("vector_md5"),
+    )
 
 
 QUERIES = {
@@ -238,8 +242,15 @@ SQL = {
                    - sum(b) OVER (PARTITION BY property ORDER BY x) / sum(b) OVER (PARTITION BY property) AS gap FROM g)
         SELECT property, round(max(abs(gap)), 6) AS drift_score, max(abs(gap)) >= {C.PROPERTY_DRIFT} AS drifted FROM c GROUP BY property""",
     "distinct_queries": "SELECT DISTINCT md5(text) AS query_md5 FROM documents",
-    "text_embedding": f"""SELECT doc_id, CAST(256 AS INT) AS dim, CASE WHEN len({t.sql_words('text')}) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
-        FROM documents""",
+    "text_embedding": f"""
+        WITH w AS (SELECT doc_id, md5(w) AS h FROM (SELECT doc_id, unnest({t.sql_words('text')}) AS w FROM documents)),
+        c AS (SELECT doc_id, CAST(('0x' || substr(h, 1, 8)) AS BIGINT) % 256 AS k,
+                     sum(CASE WHEN CAST(('0x' || substr(h, 9, 1)) AS BIGINT) % 2 = 1 THEN -1 ELSE 1 END) AS x FROM w GROUP BY ALL),
+        n AS (SELECT doc_id, sqrt(sum(CAST(x * x AS DOUBLE))) AS size FROM c GROUP BY doc_id),
+        v AS (SELECT d.doc_id, d.k, CASE WHEN n.size > 0 THEN coalesce(c.x, 0) / n.size ELSE 0 END AS y
+              FROM (SELECT doc_id, unnest(range(256)) AS k FROM documents) d LEFT JOIN c ON c.doc_id = d.doc_id AND c.k = d.k LEFT JOIN n ON n.doc_id = d.doc_id)
+        SELECT doc_id, CAST(count(*) AS INT) AS dim, round(sqrt(sum(y * y)), 4) AS norm,
+               md5(string_agg(CAST(CAST(round(y * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY k)) AS vector_md5 FROM v GROUP BY doc_id""",
     "dbscan_core_points": t.with_(_VECTORS)
     + f""", near AS (SELECT a.id AS a FROM train a CROSS JOIN train b WHERE list_distance(a.v, b.v) <= {EPS})
         SELECT a AS key, count(*) AS neighbours, count(*) >= {C.DBSCAN_MIN_SAMPLES} AS is_core FROM near GROUP BY a""",

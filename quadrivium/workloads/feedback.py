@@ -115,7 +115,8 @@ def new_documents_anti(spark, sf):
 
 
 def known_crns_limited(spark, sf):
-    return feedback.new_documents(_listing(spark, sf), t.reviews(spark, sf), limit=1000)
+    """The first forty known ids in order; documents known beyond them are listed again."""
+    return feedback.new_documents(_listing(spark, sf), _known(spark, sf), limit=40)
 
 
 def new_documents_semi(spark, sf):
@@ -168,8 +169,7 @@ def _neutral(x: str) -> str:
     return out
 
 
-def _flag(x: str) -> str:
-    return "(" + " OR ".join(f"contains(' ' || lower({x}) || ' ', ' {w} ')" for w in C.PRONOUNS) + ")"
+_flag = t.sql_flag
 
 
 _CLEANED = f"cleaned AS (SELECT conv_id, turn, r_pos, crn, question, {t.sql_clean('response')} AS response FROM raw WHERE length(response) > 0)"
@@ -216,7 +216,7 @@ SQL = {
     "new_documents_anti": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, n_chars FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "known_crns_limited": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, n_chars FROM documents WHERE CAST(doc_id AS VARCHAR) NOT IN
-        (SELECT DISTINCT CAST(conv_id AS VARCHAR) AS c FROM conversations ORDER BY c LIMIT 1000)""",
+        (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS c FROM labels ORDER BY c LIMIT 40)""",
     "new_documents_semi": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, n_chars FROM documents
         WHERE doc_id IN (SELECT doc_id FROM labels)""",
     "growth_trigger": """WITH n AS (SELECT (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS new_rows,

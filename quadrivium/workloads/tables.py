@@ -118,6 +118,10 @@ def sql_words(x: str) -> str:
     return f"list_filter(string_split_regex(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
 
 
+def sql_flag(x: str) -> str:
+    return "(" + " OR ".join(f"contains(' ' || lower({x}) || ' ', ' {w} ')" for w in C.PRONOUNS) + ")"
+
+
 COURSES = """courses AS (
   SELECT CAST(doc_id AS VARCHAR) AS crn, CAST(1000 + doc_id % 7 AS VARCHAR) AS course_code,
          split_part(text, chr(10), 1) AS course_title, 'prof ' || (doc_id % 10) AS instructor, source AS term

@@ -3,6 +3,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,7 +270,7 @@ def test_answers_keep_question_attributes(spark):
     base = spark.createDataFrame([(1, [1.0, 0.0], "Doe", "CS1", "c")], "base_id int, embedding array<double>, faculty_name string, subject_course string, content string")
     courses = spark.createDataFrame([("7", "Doe", "1")], "crn string, instructor string, course_code string")
     reviews = spark.createDataFrame([("r", "7", "Q1", "fine")], "review_id string, crn string, question string, response string")
-    rows = synthesis.answer_questions(questions, base, courses, reviews, lambda: (lambda pdf: pdf["prompt"].str.len().astype(str)), dim=2).collect()
+    rows = synthesis.answer_questions(questions, base, courses, reviews, lambda: (lambda prompts: np.array([str(len(p)) for p in prompts], dtype=object)), dim=2).collect()
     assert len(rows) == 1 and rows[0]["query_bucket"] == "b1" and rows[0]["prof_name"] == "Doe"
     assert int(rows[0]["response"]) > len(rows[0]["context"]) > 0
 
