@@ -64,15 +64,22 @@ def without_comments(html: Column) -> Column:
     return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
 
 
+def _joined(fragment: Column) -> Column:
+    return F.array_join(F.transform(F.split(fragment, r"<[^>]*>"), lambda t: strip(decode_entities(t))), "")
+
+
+def _plain(fragment: Column) -> Column:
+    return strip(decode_entities(F.regexp_replace(fragment, r"<[^>]*>", "")))
+
+
 def joined_text(fragment: Column) -> Column:
     """Text pieces of a fragment, each stripped, joined without a separator."""
-    pieces = F.transform(F.split(without_comments(fragment), r"<[^>]*>"), lambda t: strip(decode_entities(t)))
-    return F.array_join(pieces, "")
+    return _joined(without_comments(fragment))
 
 
 def plain_text(fragment: Column) -> Column:
     """Text of a fragment with tags removed and the ends stripped."""
-    return strip(decode_entities(F.regexp_replace(without_comments(fragment), r"<[^>]*>", "")))
+    return _plain(without_comments(fragment))
 
 
 def elements(html: Column, tag: str, attributes: str = "") -> Column:
@@ -105,7 +112,7 @@ def elements(html: Column, tag: str, attributes: str = "") -> Column:
 def element_text(html: Column | str, tag: str, attribute: str | None = None, value: str | None = None) -> Column:
     """Joined text of the first matching element, null if there is none."""
     attrs = "" if attribute is None else rf"""(?=[^>]*\b{attribute}\s*=\s*["']?{value}["']?[\s>/])"""
-    return joined_text(F.get(elements(without_comments(_col(html)), tag, attrs), F.lit(0)))
+    return _joined(F.get(elements(without_comments(_col(html)), tag, attrs), F.lit(0)))
 
 
 def table_rows(html: Column | str, css_class: str, cells: dict[str, int]) -> Column:
@@ -117,10 +124,15 @@ def table_rows(html: Column | str, css_class: str, cells: dict[str, int]) -> Col
     table = F.get(elements(without_comments(_col(html)), "table", wanted), F.lit(0))
     rows = elements(F.get(elements(table, "tbody"), F.lit(0)), "tr")
     parts = F.transform(rows, lambda r: elements(r, "td"))
-    result = F.transform(
-        parts,
-        lambda c: F.struct(*[plain_text(F.get(c, F.lit(i))).alias(name) for name, i in cells.items()]),
-    )
     empty = F.array().cast("array<struct<" + ",".join(f"{n}:string" for n in cells) + ">>")
-    short = F.exists(parts, lambda c: F.size(c) <= max(cells.values()))
-    return F.when(result.isNull() | short, empty).otherwise(result)
+
+    def filled(parts: Column) -> Column:
+        result = F.transform(
+            parts,
+            lambda c: F.struct(*[_plain(F.get(c, F.lit(i))).alias(name) for name, i in cells.items()]),
+        )
+        short = F.exists(parts, lambda c: F.size(c) <= max(cells.values()))
+        return F.when(parts.isNull() | short, empty).otherwise(result)
+
+    # a lambda's variable holds its value, so the table is taken apart once
+    return F.get(F.transform(F.array(parts), filled), F.lit(0))

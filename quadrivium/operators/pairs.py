@@ -470,10 +470,11 @@ def fold_pairs(
     # a left side of one block is dealt to as many tasks as its pairs fill
     spread = min(-(-n_left * n_right // PAIRS_PER_TASK), spark.sparkContext.defaultParallelism) if left_index is None else 1
     left_blocks, right_blocks = len(left_index) if left_index else 1, len(right_index) if right_index else 1
-    asks = _asks(spark, fold, left_index, right_index, left_blocks, right_blocks, spread)
+    # one right block is needed by all left ones; several are asked for
+    asks = None if right_index is None else _asks(spark, fold, left_index, right_index, left_blocks, right_blocks, spread)
     parts = -(-right_blocks // ASKS)
     tasks = min(left_blocks * spread * parts, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    met = _meet(left, right, asks, spread, parts).repartitionById(tasks, F.pmod("group", F.lit(tasks)).cast("int"))
+    met = _meet(left, right, asks, left_blocks, spread, parts).repartitionById(tasks, F.pmod("group", F.lit(tasks)).cast("int"))
     folded = met.sortWithinPartitions("group", "from").mapInArrow(_folding(fold, schema), schema)
     return folded if parts == 1 and not isinstance(fold, Links) else fold.merge(folded)
 
@@ -494,17 +495,20 @@ def _asks(spark, fold: Fold, left_index, right_index, left_blocks: int, right_bl
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(need), own, np.int32)), pa.array(need.astype(np.int32)), pa.array(part.astype(np.int32))], ["own", "from", "part"])
 
-    if left_blocks == right_blocks == 1:
-        return spark.range(spread).select(F.lit(0).alias("own"), F.lit(0).alias("from"), F.lit(0).alias("part"), F.col("id").cast("int").alias("piece"))
     asks = spark.range(left_blocks).select(F.col("id").cast("int").alias("own")).mapInArrow(run, "own int, from int, part int")
     return asks.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))) if spread > 1 else asks.withColumn("piece", F.lit(0))
 
 
-def _meet(left: DataFrame, right: DataFrame, asks: DataFrame, spread: int, parts: int) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, asks: DataFrame | None, left_blocks: int, spread: int, parts: int) -> DataFrame:
     """Rows ``group, task, from, id, vector, payload``; those of the left block have ``from`` -1 and come first in a group."""
     group = (F.col("own").cast("long") * spread + F.col("piece")) * parts + F.col("part")
     columns = ["group", "from", "l_id", "r_id", "vector", "payload"]
-    came = asks.join(right, F.col("from") == F.col("block")).select(
+    if asks is None:
+        to_all = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0)
+        came = right.withColumn("own", to_all(left_blocks)).withColumn("piece", to_all(spread)).withColumns({"from": F.lit(0), "part": F.lit(0)})
+    else:
+        came = asks.join(right, F.col("from") == F.col("block"))
+    came = came.select(
         group.alias("group"), "from", F.lit(None).cast(left.schema["id"].dataType).alias("l_id"), F.col("id").alias("r_id"), "vector", "payload")
     own = left.withColumn("own", F.col("block")).withColumn("piece", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int")).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))) if parts > 1 else F.lit(0))

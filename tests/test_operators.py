@@ -112,7 +112,7 @@ def test_only_wanted_blocks_are_sent(spark):
         marks = blocks.chosen(part, blocks.LANDMARKS)
         left, index = blocks.placed(part, n, 60, marks, np.asarray)
         asks = pairs._asks(spark, pairs.NeighbourCount(0.05), index, index, len(index), len(index), 1)
-        sent[n] = pairs._meet(left, left, asks, 1, 1).count()
+        sent[n] = pairs._meet(left, left, asks, len(index), 1, 1).count()
     assert sent[720] < 3 * sent[360], "rows sent follow the rows, not their square"
 
 

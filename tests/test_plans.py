@@ -207,7 +207,7 @@ def test_property_drift_against_plain_ks(spark):
     a = [" ".join(word() for _ in range(rng.randint(0, 12))) for _ in range(150)] + ["same text"] * 100
     b = [" ".join(word() for _ in range(rng.randint(3, 20))) for _ in range(80)]
     fa, fb = spark.createDataFrame([(x,) for x in a], "t string"), spark.createDataFrame([(x,) for x in b], "t string")
-    got = {r["property"]: r["drift_score"] for r in drift.property_drift(fa, fb, "t", buckets=8).collect()}
+    got = {r["property"]: r["drift_score"] for r in drift.property_drift(fa, fb, "t", rows=8).collect()}
     for name, column in text.text_properties("t").items():
         x, y = ([r[0] for r in f.select(column).collect()] for f in (fa, fb))
         ks = max(abs(sum(v <= c for v in x) / len(x) - sum(v <= c for v in y) / len(y)) for c in set(x + y))
