@@ -167,7 +167,7 @@ def drop_rejected(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
     table gives an empty result; columns may have any names.
     """
     ship_package(docs.sparkSession)
-    at, text_type = docs.columns.index(text_col), docs.schema
+    at, plain = docs.columns.index(text_col), docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # names with dots do not reach Python
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, text=at):
@@ -176,4 +176,4 @@ def drop_rejected(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
             s = np.where([bool(t) for t in texts], s, model.prior)
             yield batch.filter(pa.array(s >= threshold))
 
-    return docs.mapInArrow(run, text_type)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

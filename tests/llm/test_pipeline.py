@@ -33,7 +33,7 @@ def documents():
     for k in range(20, 32):  # near copies: the last word, and two words in the middle
         own = rows[k][1].split()
         rows += [row(200 + k, " ".join(own[:-1] + ["changed"])), row(300 + k, " ".join(own[:9] + ["other", "words"] + own[11:]))]
-    rows += [row(400 + k, rows[40 + k][1] + f" password = hunter{k}22 user=bobby end") for k in range(5)]
+    rows += [row(400 + k, " ".join(words(50)) + f" password = hunter{k}22 user=bobby end") for k in range(5)]
     rows += [row(500, None), row(501, ""), row(502, "  "), row(None, rows[3][1]), row(None, None), row(None, "only null " * 9), row(None, "only null " * 9)]
     rows += [rows[50], rows[50], row(50, rows[51][1])]  # a row twice, an id with two texts
     rows += [row(600 + k, "JUNK!! " * 30 + "X" * k) for k in range(25)]
