@@ -180,3 +180,9 @@ def test_near_duplicates_where_different_sets_share_an_id(spark):
     assert sum(g[0] == 4 for g in got) == 1
     assert {(r.doc_id, r.component_id) for r in near_duplicates(frame(spark, rows)).collect()} == {
         (1, 1), (7, 1), (8, 1), (2, 2), (3, 2), (3, 3), (4, 4)}
+
+
+def test_vectors_of_extreme_lengths(spark):
+    rows = [(1, [1e200, 2e200, 3e200]), (2, [1e200, 2e200, 3.0001e200]), (3, [3e200, -1e200, 0.0]), (4, [1e-200, 2e-200, 3e-200]), (5, [2e-300, 4e-300, 6e-300])]
+    got = near_vectors(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int"), 0.98).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 3, 1), (2, 3, 1), (3, 0, 3), (4, 3, 1), (5, 3, 1)]
