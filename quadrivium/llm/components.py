@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from quadrivium.session import cut_lineage
 
+#: Links that one task of a round should hold; the number of tasks follows the number of links.
+TASK_LINKS = 250_000
+
 
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
     return row[0], row[1]
 
 
+def _ends(edges: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """``a, b`` of several pairs of columns of each row, without self links."""
+    every = F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs])
+    return edges.select(F.explode(every).alias("e")).select("e.a", "e.b").filter("a != b")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (columns ``a, b``); the component is its smallest node.
 
@@ -23,13 +32,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut_lineage(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = _mark(edges)
     while mark[0]:
-        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tasks = -(-mark[0] // TASK_LINKS)  # a round keeps at most two rows of each link
+        both = _ends(edges.coalesce(tasks), ("a", "b"), ("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-        large = both.join(least, both["a"] == least["n"]).filter("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, both["a"] == least["n"]).filter("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.coalesce(tasks)
         low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
         pointed = large.join(low, large["a"] == low["n"])
-        small = pointed.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(pointed.select("a", F.col("m").alias("b")))
-        edges = cut_lineage(small.distinct())
+        edges = cut_lineage(_ends(pointed.coalesce(tasks), ("b", "m"), ("a", "m")).distinct().coalesce(tasks))
         before, mark = mark, _mark(edges)
         if before == mark:
             break
