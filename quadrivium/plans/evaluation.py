@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,54 +17,44 @@ MAX_ORDER = 4
 GATE_METRICS = ["bleu/mean", "rouge_l_sum/mean"]
 
 
-def _grams(tokens: str, order: int):
-    """All n-grams of one order as strings."""
-    last = F.size(tokens) - order + 1
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(F.col(tokens), i, order), " "))
+def _clipped(predicted: list[str], expected: list[str], order: int) -> int:
+    """N-grams of one order that both lists have, each as often as in the list that has fewer of it."""
+    one, other = (Counter(zip(*(side[i:] for i in range(order)))) for side in (predicted, expected))
+    return sum(min(n, other[gram]) for gram, n in one.items() if gram in other)
 
 
-def text_pairs(df: DataFrame, key: str) -> DataFrame:
-    """(pair, key, prediction, reference, copies): each distinct row once, under a digest of its values.
+def _matches(spark, orders: list[int]):
+    """Function of two columns of words joined by blanks: clipped matches of every order, counted row by row."""
+    ship_package(spark)
 
-    One shuffle by digest; whatever is counted per pair afterwards finds its rows already placed.
-    """
-    rows = df.select(F.col(key).alias("key"), "prediction", "reference")
-    pair = F.md5(F.to_json(F.struct("key", "prediction", "reference")).cast("binary"))
-    first = [F.first(c).alias(c) for c in rows.columns]
-    return rows.groupBy(pair.alias("pair")).agg(*first, F.count("*").alias("copies"))
+    @F.pandas_udf("array<bigint>")
+    def count(predicted: pd.Series, expected: pd.Series) -> pd.Series:
+        rows = ((p.split(), r.split()) for p, r in zip(predicted, expected))
+        return pd.Series([[_clipped(p, r, n) for n in orders] for p, r in rows], dtype=object)
 
+    return count
 
-def gram_overlap(pairs: DataFrame, orders: list[int]) -> DataFrame:
-    """(pair, key, copies, overlap): of ``text_pairs`` the clipped n-gram matches and both sides' n-grams, order by order."""
-    words = lambda c: F.coalesce(text.words(c), F.array().cast("array<string>"))
-    tokens = pairs.select("pair", "key", "copies", words("prediction").alias("p"), words("reference").alias("r"))
-    sides = [
-        F.struct(F.lit(order).alias("n"), F.lit(flag).alias("side"), _grams(side, order).alias("grams"))
-        for order in orders for side, flag in (("p", 1), ("r", 0))
-    ]
-    blocks = tokens.select("pair", "key", "copies", F.inline(F.array(*sides)))
-    grams = blocks.select("pair", "key", "copies", "n", "side", F.explode_outer("grams").alias("gram"))
-    found = F.col("gram").isNotNull().cast("long")
-    counts = grams.groupBy("pair", "key", "copies", "n", "gram").agg(
-        F.sum(F.col("side") * found).alias("in_p"), F.sum((1 - F.col("side")) * found).alias("in_r")
-    )
-    def total(order, value):
-        return F.sum(F.when(F.col("n") == order, value).otherwise(0))
 
+def gram_overlap(df: DataFrame, orders: list[int]) -> DataFrame:
+    """``df`` with ``overlap``: clipped n-gram matches of its texts and both sides' n-grams, order by order.
+
+    Tokens are made in the JVM and counted inside a row; no n-gram becomes a row, so nothing is shuffled.
+    """
+    words = lambda c: F.coalesce(text.words(c), F.array().cast("array<string>"))
+    joined = lambda c: F.array_join(words(c), " ")
+    counted = df.withColumns({
+        "_matches": _matches(df.sparkSession, orders)(joined("prediction"), joined("reference")),
+        "_p": F.size(words("prediction")), "_r": F.size(words("reference")),
+    })
+    total = lambda side, order: F.greatest(F.col(side) - order + 1, F.lit(0)).cast("long")
     per_order = [
         F.struct(
-            F.lit(order).alias("n"), total(order, F.least("in_p", "in_r")).alias("matches"),
-            total(order, F.col("in_p")).alias("predicted"), total(order, F.col("in_r")).alias("expected"),
+            F.lit(order).alias("n"), F.get("_matches", F.lit(at)).alias("matches"),
+            total("_p", order).alias("predicted"), total("_r", order).alias("expected"),
         )
-        for order in orders
+        for at, order in enumerate(orders)
     ]
-    return counts.groupBy("pair", "key", "copies").agg(F.array(*per_order).alias("overlap"))
-
-
-def _each_row(found: DataFrame, *columns) -> DataFrame:
-    """A result per pair as one per row of the input."""
-    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*columns)
+    return counted.withColumn("overlap", F.array(*per_order)).drop("_matches", "_p", "_r")
 
 
 def _ratio(part, whole):
@@ -76,13 +68,12 @@ def _fmeasure(order):
 
 def rouge_n(df: DataFrame, key: str, orders: list[int] | None = None) -> DataFrame:
     """(key, n, precision, recall, fmeasure) for every row and order; 0 where a side has no n-gram or no text."""
-    found = gram_overlap(text_pairs(df, key), orders or [1, 2])
-    rows = _each_row(found, "key", F.explode("overlap").alias("o"))
-    o = F.col("o")
-    return rows.select(
-        "key", o["n"].alias("n"), _ratio(o["matches"], o["predicted"]).alias("precision"),
+    found = gram_overlap(df, orders or [1, 2])
+    scores = F.transform("overlap", lambda o: F.struct(
+        o["n"].alias("n"), _ratio(o["matches"], o["predicted"]).alias("precision"),
         _ratio(o["matches"], o["expected"]).alias("recall"), _fmeasure(o).alias("fmeasure"),
-    )
+    ))
+    return found.select(F.col(key).alias("key"), F.inline_outer(scores))
 
 
 def _bleu(overlap, smooth: bool):
@@ -104,8 +95,8 @@ def bleu(df: DataFrame, key: str, smooth: bool = False) -> DataFrame:
     Without smoothing a pair that misses any order scores 0; ``smooth`` adds one to both counts of
     orders above 1.  A missing text has no words.
     """
-    found = gram_overlap(text_pairs(df, key), list(range(1, MAX_ORDER + 1)))
-    return _each_row(found, "key", _bleu(F.col("overlap"), smooth).alias("bleu"))
+    found = gram_overlap(df, list(range(1, MAX_ORDER + 1)))
+    return found.select(F.col(key).alias("key"), _bleu(F.col("overlap"), smooth).alias("bleu"))
 
 
 def exact_match(df: DataFrame, key: str) -> DataFrame:
@@ -208,23 +199,17 @@ def rouge_l(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
 def mean_metrics(df: DataFrame, key: str, summary: bool = True) -> DataFrame:
     """(metric, value): means of the overlap scores over all rows.
 
-    The table is read and shuffled once; n-grams of all orders and whole texts are two uses of that
-    shuffle, and each is one row of sums in the end.
+    The table is read once and nothing is shuffled but sums.
     """
     longest = "rouge_l_sum/mean" if summary else "rouge_l/mean"
-    pairs = text_pairs(df, key)
-    weight = lambda c: F.sum(c * F.col("copies"))
     overlap = F.col("overlap")
-    grams = gram_overlap(pairs, list(range(1, MAX_ORDER + 1))).agg(
-        weight(_bleu(overlap, False)).alias("bleu/mean"), weight(_fmeasure(overlap[0])).alias("rouge_1/mean"),
-        weight(_fmeasure(overlap[1])).alias("rouge_2/mean"),
-    )
-    scored = pairs.select("copies", "prediction", "reference", _longest(df, summary).alias("l"))
     same = F.coalesce(text.strip("prediction") == text.strip("reference"), F.lit(False)).cast("double")
-    texts = scored.agg(weight(F.col("l")).alias(longest), weight(same).alias("exact_match/mean"), F.sum("copies").alias("n"))
-    both = grams.unionByName(texts, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in [*grams.columns, *texts.columns]])
-    names = [c for c in [*grams.columns, *texts.columns] if c != "n"]
-    return both.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), (F.col(f"`{c}`") / F.col("n")).alias("value")) for c in names])))
+    scored = gram_overlap(df.select("prediction", "reference"), list(range(1, MAX_ORDER + 1))).select(
+        _bleu(overlap, False).alias("bleu/mean"), _fmeasure(overlap[0]).alias("rouge_1/mean"),
+        _fmeasure(overlap[1]).alias("rouge_2/mean"), _longest(df, summary).alias(longest), same.alias("exact_match/mean"),
+    )
+    means = scored.agg(*[F.avg(f"`{c}`").alias(c) for c in scored.columns])
+    return means.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").alias("value")) for c in means.columns])))
 
 
 def model_gate(current: DataFrame, best: DataFrame, metrics: list[str] | None = None) -> DataFrame:

@@ -462,3 +462,16 @@ def test_entries_make_the_uncut_context(spark, corpus):
         texts.append(r["entry"])
         assert r["position"] == len(crns)
     assert {q: (c, "\n\n".join(e)) for q, (c, e) in got.items()} == plain_contexts(queries, base, courses, reviews, 5, False, None)
+
+
+def test_overlap_scores_shuffle_nothing(spark):
+    """n-grams are counted inside their row: rows that repeat, and nulls, give one score each and no n-gram is shuffled."""
+    rows = [("a", "x y x y", "x y z"), ("a", "x y x y", "x y z"), ("a", "x y", "x y"), (None, None, "x"), ("b", "", None)]
+    frame = spark.createDataFrame(rows, "id string, prediction string, reference string").coalesce(1)
+    for scores in (evaluation.bleu(frame, "id"), evaluation.rouge_n(frame, "id")):
+        assert "Exchange" not in scores._jdf.queryExecution().executedPlan().toString()
+    found = sorted((str(r["key"]), r["n"], round(r["precision"], 6), round(r["recall"], 6)) for r in evaluation.rouge_n(frame, "id").collect())
+    assert found == sorted([
+        *[("a", 1, 0.5, 0.666667), ("a", 2, 0.333333, 0.5)] * 2, ("a", 1, 1.0, 1.0), ("a", 2, 1.0, 1.0),
+        ("None", 1, 0.0, 0.0), ("None", 2, 0.0, 0.0), ("b", 1, 0.0, 0.0), ("b", 2, 0.0, 0.0),
+    ])
