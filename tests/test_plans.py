@@ -475,3 +475,21 @@ def test_overlap_scores_shuffle_nothing(spark):
         *[("a", 1, 0.5, 0.666667), ("a", 2, 0.333333, 0.5)] * 2, ("a", 1, 1.0, 1.0), ("a", 2, 1.0, 1.0),
         ("None", 1, 0.0, 0.0), ("None", 2, 0.0, 0.0), ("b", 1, 0.0, 0.0), ("b", 2, 0.0, 0.0),
     ])
+
+
+def test_matches_are_not_grouped(spark, corpus):
+    """Hits fall together before the courses come: no shuffle and no aggregate above the join that makes the matches."""
+    queries, base, courses, _ = corpus
+    hits = spark.createDataFrame(
+        [(q, f, s, c, d) for q, (_, _, f, s, c), d in [(1, base[0], 0.5), (1, base[3], 0.5), (1, base[1], 0.5), (2, base[1], 0.1), (2, base[2], 0.2)]],
+        "query_id int, faculty_name string, subject_course string, content string, distance double")
+    frame = spark.createDataFrame(courses, "crn string, instructor string, course_code string")
+    found = retrieval.course_matches(hits, frame)
+    want = Counter()
+    for h in hits.collect():
+        for crn, instructor, _ in courses:
+            if instructor == h["faculty_name"]:
+                want[(h["query_id"], crn, h["content"], h["distance"])] += 1
+    assert {tuple(r)[:4]: r["copies"] for r in found.collect()} == dict(want)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("Join Inner")[0]
