@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -312,3 +313,39 @@ def test_score_embed_and_lexicon(spark):
     assert len(vec[1]) == 32 and abs(sum(x * x for x in vec[1]) - 1) < 1e-6
     own = score.embed(frame, "text", embedder=lambda c: F.array(F.length(c).cast("float")))
     assert own.where("id = 3").first()["embedding"] == [3.0]
+
+
+@pytest.mark.parametrize("make", [
+    lambda: pairs.Nearest(5), pairs.MinCosine, pairs.DistanceSum, lambda: pairs.NeighbourCount(1.1), lambda: pairs.LowestLabel(1.1),
+    lambda: pairs.Links(1.1), pairs.NearestLabel,
+])
+def test_a_fold_holds_one_matrix_of_a_tile(make):
+    """Passes over all pairs of a tile are what a fold costs: one matrix of doubles and some of booleans, not one per step."""
+    rng = np.random.default_rng(8)
+    a, b = (rng.normal(size=(n, 64)) / 8 for n in (1024, 4096))
+    left, right = pairs.Block(np.arange(1024), a, np.ones(1024, int)), pairs.Block(np.arange(4096), b, np.arange(4096) % 7)
+    fold = make()
+    state = fold.update(fold.start(left), left, right)  # what is kept of a tile is made here
+    tracemalloc.start()
+    fold.update(state, left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.2 * 1024 * 4096 * 8
+
+
+def test_nearest_among_many_copies():
+    """More rows on the limit than a tile may collect: the smallest ids stay."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(3000, 8))
+    base[rng.permutation(3000)[:1500]] = base[0]
+    ids, at = rng.permutation(3000), np.stack([base[0], base[1]])
+    left = pairs.Block(np.arange(2), at, np.zeros(2))
+    fold = pairs.Nearest(5)
+    state = fold.start(left)
+    for tile in pairs.Block(ids, base, ids).tiles(1000):
+        state = fold.update(state, left, tile)
+    rows, found, dist, rank = fold.finish(state, left)
+    whole = np.round(1.0 - pairs.unit(at) @ pairs.unit(base).T, 12)
+    for k in (0, 1):
+        want = sorted(zip(whole[k], ids))[:5]
+        assert [(d, i) for r, i, d in zip(rows, found, dist) if r == k] == want
