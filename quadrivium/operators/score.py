@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel
@@ -19,8 +20,8 @@ from quadrivium.session import ship_package
 def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType) -> DataFrame:
     """Apply ``function`` to Arrow batches and add an ``error`` column.
 
-    When a batch fails its rows are tried one by one; a failing row is kept with its input values,
-    nulls for the new columns and the message in ``error``.
+    When a batch fails, its halves are tried, down to single rows; a failing row is kept with its
+    input values, nulls for the new columns and the message in ``error``.
     """
     ship_package(df.sparkSession)
     out = T.StructType([*schema.fields, T.StructField("error", T.StringType())])
@@ -28,19 +29,31 @@ def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            try:
-                yield function(batch)[names].assign(error=None)
-            except Exception:  # noqa: BLE001 - any failure falls back to single rows
-                for at in range(len(batch)):
-                    row = batch.iloc[at : at + 1]
-                    try:
-                        yield function(row)[names].assign(error=None)
-                    except Exception as problem:  # noqa: BLE001 - reported in the row
-                        yield row.reindex(columns=names).assign(error=str(problem))
+            good, bad = [], {}
+            tried = [(0, len(batch))]
+            while tried:
+                start, end = tried.pop()
+                try:
+                    good.append(function(batch if end - start == len(batch) else batch.iloc[start:end])[names])
+                except Exception as problem:  # noqa: BLE001 - any failure falls back to fewer rows, and is reported in the row
+                    if end - start > 1:
+                        middle = (start + end) // 2
+                        tried += [(middle, end), (start, middle)]
+                    elif end > start:
+                        bad[start] = str(problem)
+            # one frame for each set of column types, so that joining them changes no value
+            for _, same in groupby(sorted(good, key=_types), key=_types):
+                yield pd.concat(same, ignore_index=True).assign(error=None)
+            if bad:
+                yield batch.iloc[list(bad)].reindex(columns=names).assign(error=list(bad.values()))
 
     return df.mapInPandas(run, out)
 
 
+def _types(frame: pd.DataFrame) -> str:
+    return str([*map(str, frame.dtypes)])
+
+
 def score(df: DataFrame, make_scorer: Callable[[], Callable[[pd.DataFrame], pd.Series]], column: str, data_type: T.DataType) -> DataFrame:
     """Add ``column`` from a scorer that is built once per partition (a model client, for instance)."""
     ship_package(df.sparkSession)

@@ -349,3 +349,21 @@ def test_nearest_among_many_copies():
     for k in (0, 1):
         want = sorted(zip(whole[k], ids))[:5]
         assert [(d, i) for r, i, d in zip(rows, found, dist) if r == k] == want
+
+
+def test_map_batches_halves_a_failing_batch(spark):
+    """One bad row of a thousand costs some twenty calls, not one for every row; large numbers stay exact."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def checked(batch):
+        calls.add(1)
+        if (batch["id"] == 2**60 + 700).any():
+            raise ValueError("bad")
+        return batch.assign(r=batch["id"] + 1)
+
+    frame = spark.range(2**60, 2**60 + 1000, 1, 1)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("r", T.LongType())])
+    rows = score.map_batches(frame, checked, schema).collect()
+    assert {r["id"] for r in rows if r["error"]} == {2**60 + 700}
+    assert all(r["r"] == (None if r["error"] else r["id"] + 1) for r in rows) and len(rows) == 1000
+    assert calls.value < 40
