@@ -9,7 +9,7 @@ in one case of 20,000, and then still has all chunks to meet in.)
 Members of a key are first compared with the smallest members they meet; the confirmed links make components, whose
 smallest members in a key are then compared with that of its largest component.  What is left are keys whose members lie
 in several components.  Members outside a key's largest component ask for that component, and are compared with its
-members by longer sketches (``SKETCH`` symbols), block by block; among themselves they are compared by sketches in the
+members by longer sketches (``SKETCH`` symbols of one bit), block by block; among themselves they are compared by sketches in the
 key.  Only those whose sketches allow a link are compared with the other component's members on whole sets.  No list of
 the pairs of a group is made, and no link between components is lost.  Equal sets are one row from the start.
 """
@@ -32,8 +32,9 @@ from quadrivium.session import cut_lineage, ship_package
 
 CHUNKS, CHUNK = 14, 5
 SYMBOLS = CHUNKS * CHUNK
-#: Symbols of the sketch that is looked at before two sets are compared, of 8 bits each.
-SKETCH = 198
+#: Symbols of the sketch that is looked at before two sets are compared, of one bit each.  Many symbols of a bit tell
+#: sets near the limit from those below it by fewer bytes than few symbols of many bits.
+SKETCH = 1024
 #: A sketch may differ in so many more standard deviations than a pair at the limit does on average.
 DEVIATIONS = 6.0
 #: Members with which each document is compared first.
@@ -80,16 +81,23 @@ def signatures(sets: list[np.ndarray], symbols: int = SYMBOLS, kind: type = np.u
 
 
 def sketches(sets: list[np.ndarray]) -> pa.Array:
-    return pa.array([s.tobytes() for s in signatures(sets, SKETCH, np.uint8)], pa.binary())
+    """A bit of each least hash; a middle one, which all lower bits of a member and of the factor decide."""
+    bits = (signatures(sets, SKETCH, np.uint64) >> np.uint64(32)).astype(np.uint8) & 1
+    return pa.array([b.tobytes() for b in np.packbits(bits, axis=1)], pa.binary())
 
 
 def _sketch_rows(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+
+
+def _differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many symbols the sketches in rows differ."""
+    return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
 
 
 def most_differences(percent: int) -> int:
-    """Sketches of a pair that must be found differ in no more symbols."""
-    miss = 1 - percent / 100
+    """Sketches of a pair that must be found differ in no more symbols; those of other members differ in every second one."""
+    miss = (1 - percent / 100) / 2
     return int(SKETCH * miss + DEVIATIONS * np.sqrt(SKETCH * miss * (1 - miss)))
 
 
@@ -191,7 +199,7 @@ def _confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFra
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                near = (_sketch_rows(batch.column(2)) != _sketch_rows(batch.column(3))).sum(1) <= most
+                near = _differences(_sketch_rows(batch.column(2)), _sketch_rows(batch.column(3))) <= most
                 good = np.array([ok and _alike(x, y, percent) for ok, x, y in zip(near, _numbers(batch.column(4)), _numbers(batch.column(5)))], bool)
                 yield batch.select([0, 1]).filter(pa.array(good))
 
@@ -295,7 +303,7 @@ def _near_top(spanning: DataFrame, homes: DataFrame, sets: DataFrame, percent: i
             sketch, b, found = _sketch_rows(table.column("sketch")), np.flatnonzero(inside), []
             for q in np.flatnonzero(~inside):
                 able = b[_same_size(count[b], count[q], percent)]
-                if ((sketch[able] != sketch[q]).sum(1) <= most).any():
+                if (_differences(sketch[able], sketch[q]) <= most).any():
                     found.append(int(rep[q]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([table.column("other")[0].as_py()] * len(found), pa.int64())], ["rep", "other"])
@@ -317,28 +325,34 @@ def _near_others(spanning: DataFrame, sets: DataFrame, percent: int) -> DataFram
     rest = spanning.filter("component != top").select("key", "rep", "component", "size")
     several = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
     rest = cut_lineage(rest.join(several.select("key"), "key", "left_semi"))
-    met = _met_blocks(rest, rest, "key", sets.select("rep", F.col("n").alias("count"), "signature", "sketch"))
+    blocks = rest.groupBy("key").agg(F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("_n"))
+    # both sides are the same rows, so a row goes to each pair of blocks once
+    own, other = F.pmod(F.xxhash64("rep"), "_n").cast("int"), F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+    met = rest.join(blocks, "key").withColumn("own", own).withColumn("_other", other).withColumns(
+        {"bi": F.least("own", "_other"), "qi": F.greatest("own", "_other")}).drop("_n", "_other")
+    met = met.join(sets.select("rep", F.col("n").alias("count"), "signature", "sketch"), "rep")
     most, block = most_differences(percent), ["key", "bi", "qi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, block):
-            inside = table.column("base").to_numpy().astype(bool)
-            rep, component, size, count = (table.column(c).to_numpy() for c in ("rep", "component", "size", "count"))
-            sketch, b = _sketch_rows(table.column("sketch")), np.flatnonzero(inside)
+            rep, component, size, count, own = (table.column(c).to_numpy() for c in ("rep", "component", "size", "count", "own"))
+            sketch, one_block = _sketch_rows(table.column("sketch")), table.column("bi")[0] == table.column("qi")[0]
+            against = {k: np.flatnonzero((own != k) | one_block) for k in np.unique(own).tolist()}
             sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
             place = np.flatnonzero(chunk_keys(sign[:1])[0] == table.column("key")[0].as_py())
             found = set()
-            for q in np.flatnonzero(~inside):
+            for q in range(len(rep)):
+                b = against[own[q]]
                 able = b[(size[b] > size[q]) | ((size[b] == size[q]) & (component[b] > component[q]))]
                 able = able[_same_size(count[able], count[q], percent)]
-                near = able[(sketch[able] != sketch[q]).sum(1) <= most]
+                near = able[_differences(sketch[able], sketch[q]) <= most]
                 near = near[np.isin(first_shared(sign[near], sign[q]), place)]
                 found.update((int(rep[q]), int(c)) for c in np.unique(component[near]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found]), pa.array([y for _, y in found])], ["rep", "other"])
 
     parts = met.repartition(*block).sortWithinPartitions(*block)
-    parts = parts.select("key", "bi", "qi", "base", "rep", "component", "size", "count", "signature", "sketch")
+    parts = parts.select("key", "bi", "qi", "own", "rep", "component", "size", "count", "signature", "sketch")
     return parts.mapInArrow(run, "rep long, other long").distinct()
 
 

@@ -186,3 +186,37 @@ def test_vectors_of_extreme_lengths(spark):
     rows = [(1, [1e200, 2e200, 3e200]), (2, [1e200, 2e200, 3.0001e200]), (3, [3e200, -1e200, 0.0]), (4, [1e-200, 2e-200, 3e-200]), (5, [2e-300, 4e-300, 6e-300])]
     got = near_vectors(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int"), 0.98).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 3, 1), (2, 3, 1), (3, 0, 3), (4, 3, 1), (5, 3, 1)]
+
+
+def test_sketches_tell_sets_below_the_limit_from_those_at_it():
+    rng = np.random.default_rng(11)
+
+    def pair(both, each):
+        some = rng.integers(1, 2**63, both + 2 * each, dtype=np.uint64)
+        return some[:both + each], np.concatenate([some[:both], some[both + each:]])
+
+    def near(pairs):
+        a, b = (near_dedup._sketch_rows(near_dedup.sketches(list(side))) for side in zip(*pairs))
+        return near_dedup._differences(a, b) <= near_dedup.most_differences(80)
+
+    at_limit = [pair(*x) for x in [(8, 1), (80, 10), (800, 100), (4, 0)] for _ in range(100)]
+    assert near(at_limit).all()
+    assert near([pair(62, 19) for _ in range(400)]).mean() < 0.05  # similarity 0.62
+
+
+def test_members_of_one_key_meet_in_all_blocks(spark, monkeypatch):
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(60):
+        some = list(base)
+        for at in rnd.sample(range(120), 14 if k % 3 else 3):
+            some[at] = f"x{rnd.randrange(10**6)}"
+        rows.append((k + 1, " ".join(some)))
+    monkeypatch.setattr(near_dedup, "CENTRES", 1)
+    whole = sorted(near_duplicates(frame(spark, rows), words=1).collect())
+    monkeypatch.setattr(near_dedup, "SKETCH_BLOCK", 4)
+    assert sorted(near_duplicates(frame(spark, rows), words=1).collect()) == whole
+    sets = {i: shingles(t, 1) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert {r.doc_id: r.component_id for r in whole} == closed(links, sets)
