@@ -192,3 +192,13 @@ def test_very_long_texts(spark, scratch):
     own = [r for r in pack_documents(frame(spark, rows), BYTES).collect() if r.doc_id == 1]
     assert sum(r.length for r in own) == len(ids)
     assert {r.ids_crc32 for r in own} == {zlib.crc32(np.array(ids[r.start:r.start + r.length], "<u4").tobytes()) for r in own}
+
+
+@pytest.mark.parametrize("kind,path", [(ByteLevelIds, BYTES)])
+def test_latin_texts_are_cut_into_pieces_at_once(kind, path):
+    ids, rnd = kind(path), random.Random(5)
+    parts = [" ", "  ", "\n", "\t", "a", "B", "the", "ing", "'s", "'LL", "'", "!", "é", "ß", "Ⱥ", "Ə", "ª", "×", "\xad", "1", "²", "½", "don't", "?!"]
+    for _ in range(3000):
+        t = "".join(rnd.choices(parts, k=rnd.randrange(1, 30)))
+        assert np.frombuffer(ids.ids(t), "<u4").tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    assert not len(ids)  # no chunk was remembered beside its pieces
