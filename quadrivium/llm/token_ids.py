@@ -47,6 +47,7 @@ def _of_category(kind: str) -> str:
 LETTER, NUMBER = _of_category("L"), _of_category("N")
 PLAIN_BYTE_PIECES = re.compile(
     f" ?[{LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{NUMBER}]+| ?[^{SPACES}{LETTER}{NUMBER}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+PLAIN_WORD_PIECES = re.compile(f"[{LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d|[{NUMBER}]|[^{SPACES}{LETTER}{NUMBER}]+")
 
 
 def byte_letters() -> list[str]:
@@ -162,7 +163,7 @@ class ByteLevelIds(ChunkIds):
 class WordIds(ChunkIds):
     """BPE with word ends over lower-cased text; white space is dropped, so chunks are its gaps."""
 
-    piece_bytes = 48_000_000  # its pieces are slow to make: the library's model searches merges up to a word's end
+    piece_bytes = 60_000_000  # its pieces are slow to make: the library's model searches merges up to a word's end
 
     def encode(self, chunk: str) -> bytes:
         if not LATIN.fullmatch(chunk) or "<|" in chunk:
@@ -179,6 +180,8 @@ class WordIds(ChunkIds):
     def ids(self, text: str) -> bytes:
         if "<|" in text:
             return self.whole(text)
+        if PLAIN.fullmatch(text):
+            return self.joined(PLAIN_WORD_PIECES.findall(text.lower()))
         return b"".join(map(self.__getitem__, WORD_CHUNKS.findall(text)))
 
 
