@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -16,6 +17,11 @@ from quadrivium import constants as C
 from quadrivium.functions import text
 from quadrivium.session import ship_package
 
+#: Bytes of rows that a scorer sees at once, beyond one row.
+BATCH_BYTES = 4_000_000
+#: Types whose Arrow columns become the same pandas columns here as in ``mapInPandas``.
+PLAIN_TYPES = (T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType, T.DecimalType, T.StringType, T.BinaryType, T.DateType)
+
 
 def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType) -> DataFrame:
     """Apply ``function`` to Arrow batches and add an ``error`` column.
@@ -55,9 +61,29 @@ def _types(frame: pd.DataFrame) -> str:
 
 
 def score(df: DataFrame, make_scorer: Callable[[], Callable[[pd.DataFrame], pd.Series]], column: str, data_type: T.DataType) -> DataFrame:
-    """Add ``column`` from a scorer that is built once per partition (a model client, for instance)."""
+    """Add ``column`` from a scorer that is built once per partition (a model client, for instance).
+
+    Columns of plain types reach the scorer in frames of about ``BATCH_BYTES`` and pass by it in Arrow, so a worker's memory
+    follows neither the rows nor the texts of a partition.
+    """
     ship_package(df.sparkSession)
     out = T.StructType([*df.schema.fields, T.StructField(column, data_type)])
+    if all(isinstance(f.dataType, PLAIN_TYPES) for f in out.fields):
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        made, names = to_arrow_type(data_type), out.names
+        safe = df.sparkSession.conf.get("spark.sql.execution.pandas.convertToArrowArraySafely") == "true"
+
+        def run_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorer = make_scorer()
+            for whole in batches:
+                for batch in _small(whole):
+                    frame = batch.to_pandas(date_as_object=True)
+                    values = frame.assign(**{column: scorer(frame)})[column]
+                    array = pa.Array.from_pandas(values, mask=values.isnull(), type=made, safe=safe)
+                    yield pa.RecordBatch.from_arrays([*batch.columns, array], names)
+
+        return df.mapInArrow(run_small, out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
@@ -67,6 +93,16 @@ def score(df: DataFrame, make_scorer: Callable[[], Callable[[pd.DataFrame], pd.S
     return df.mapInPandas(run, out)
 
 
+def _small(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch, or its halves where it has more than ``BATCH_BYTES``, down to single rows."""
+    if batch.num_rows < 2 or batch.nbytes <= BATCH_BYTES:
+        yield batch
+    else:
+        middle = batch.num_rows // 2
+        yield from _small(batch.slice(0, middle))
+        yield from _small(batch.slice(middle))
+
+
 def lexicon_sentiment(df: DataFrame, key: str, column: str, lexicon: DataFrame) -> DataFrame:
     """(key, sentiment_score): mean word valence of a text in five steps; 3 without a listed word.
 

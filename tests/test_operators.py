@@ -367,3 +367,19 @@ def test_map_batches_halves_a_failing_batch(spark):
     assert {r["id"] for r in rows if r["error"]} == {2**60 + 700}
     assert all(r["r"] == (None if r["error"] else r["id"] + 1) for r in rows) and len(rows) == 1000
     assert calls.value < 40
+
+
+def test_a_scorer_sees_few_bytes_at_once(spark):
+    rows = [(k, None if k % 97 == 0 else "x" * (k % 5) * 3000) for k in range(3000)]
+    frame = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    most = score.BATCH_BYTES
+
+    def make():
+        def size(pdf):
+            assert pdf["text"].str.len().sum() <= most
+            return pdf["text"].str.len()
+
+        return size
+
+    got = {r["id"]: r["n"] for r in score.score(frame, make, "n", T.LongType()).collect()}
+    assert got == {k: None if t is None else len(t) for k, t in rows}
