@@ -493,3 +493,63 @@ def test_matches_are_not_grouped(spark, corpus):
     assert {tuple(r)[:4]: r["copies"] for r in found.collect()} == dict(want)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan.split("Join Inner")[0]
+
+
+def context_frames(spark, corpus):
+    queries, base, courses, reviews = corpus
+    return (
+        spark.createDataFrame(queries, "query_id int, query_vector array<double>"),
+        spark.createDataFrame(base, "base_id int, embedding array<double>, faculty_name string, subject_course string, content string"),
+        spark.createDataFrame(courses, "crn string, instructor string, course_code string"),
+        spark.createDataFrame(reviews, "review_id string, crn string, question string, response string"),
+    )
+
+
+def above_assembly(frame):
+    """The part of the plan that handles whole contexts."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan
+    return plan.split("MapInArrow")[0]
+
+
+@pytest.mark.parametrize("held", [None, 1500, 1])
+def test_whole_contexts_are_not_shuffled(spark, corpus, monkeypatch, held):
+    """Lists go to the tasks, by one slice of queries after the other where they do not all fit."""
+    if held:
+        monkeypatch.setattr(retrieval, "LIST_BYTES", held)
+        monkeypatch.setattr(retrieval, "BATCH_BYTES", 500)
+    found = retrieval.retrieve_context(*context_frames(spark, corpus), k=5, dim=3)
+    assert "Exchange" not in above_assembly(found)
+    assert {r["query_id"]: (list(r["crns"]), r["content"]) for r in found.collect()} == plain_contexts(*corpus, 5, False, None)
+
+
+def test_answers_and_prompts_do_not_shuffle_contexts(spark, corpus):
+    """Rows of the caller meet the hits, not the texts; repeated, null and unknown ids are those of a join."""
+    frames = context_frames(spark, corpus)
+    want = plain_contexts(*corpus, 5, True, None)
+    asked = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (99, "d"), (2, "e")], "query_id int, `my.tag` string")
+    options = {"k": 5, "dim": 3, "match_subject": True}
+    found = retrieval.retrieve_context(*frames, **options, rows=asked, how="left")
+    rows = retrieval.answers_or_fallback(None, found, "none")
+    assert "Exchange" not in above_assembly(rows)
+    text = lambda q: want.get(q, (None, None))[1]
+    assert sorted((r["my.tag"], r["content"], r["response"]) for r in rows.collect()) == [
+        (tag, text(q), None if text(q) else "none") for q, tag in [(1, "a"), (1, "b"), (None, "c"), (99, "d"), (2, "e")]]
+    questions = frames[0].withColumn("query", F.lit("Who?"))
+    answers = synthesis.answer_questions(questions, *frames[1:], lambda: (lambda p: p), "{query} {content}", **options)
+    assert "Exchange" not in above_assembly(answers)
+    assert Counter(r["response"] for r in answers.collect()) == Counter(f"Who? {content}" for _, content in want.values())
+
+
+def test_whole_contexts_of_missing_contents(spark):
+    """A hit without a content has courses but no text; equally near hits share a list."""
+    hits = spark.createDataFrame(
+        [(1, "A", None, 0.1), (1, "B", "b!", 0.2), (2, "A", None, 0.1), (3, "A", "a", 0.5), (3, "B", "b", 0.5), (None, "B", "", 0.3)],
+        "query_id int, faculty_name string, content string, distance double")
+    courses = spark.createDataFrame([("8", "A", "1"), ("7", "B", "1"), ("9", "A", "1")], "crn string, instructor string, course_code string")
+    reviews = spark.createDataFrame([("r", c, "q", "é.") for c in "789"], "review_id string, crn string, question string, response string")
+    got = {r.query_id: (r.crns, r.content) for r in retrieval.contexts(hits, courses, reviews).collect()}
+    entry = "Course Information\n{}\nReview Information\nq\né\n\n".format
+    assert got == {
+        1: (["8", "9", "7"], entry("b")), 2: (["8", "9"], ""), None: (["7"], entry("")),
+        3: (["7", "8", "9"], "\n\n".join([entry("b"), entry("a"), entry("a")]))}
