@@ -11,9 +11,12 @@ from quadrivium.session import cut_lineage
 TASK_LINKS = 250_000
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return row[0], row[1]
+def _open(edges: DataFrame) -> tuple[int, int]:
+    """The number of links, and of nodes that point to several nodes or are pointed to as well; without one all are stars."""
+    ends = F.array(*[F.struct(F.col(c).alias("n"), F.lit(k).alias("up")) for c, k in (("a", 1), ("b", 0))])
+    nodes = edges.select(F.inline(ends)).groupBy("n").agg(F.sum("up").alias("up"), F.count("*").alias("all"))
+    row = nodes.agg(F.sum("up"), F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("all") > F.col("up"))))).first()
+    return row[0] or 0, row[1]
 
 
 def _ends(edges: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
@@ -26,13 +29,14 @@ def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (columns ``a, b``); the component is its smallest node.
 
     Self links and repeated links are harmless; rows with a null end are left out.  Each round points nodes at the
-    smallest neighbour; the number of rounds grows with the logarithm of the longest chain.  No task holds a
+    smallest neighbour; the number of rounds grows with the logarithm of the longest chain, and links that are stars
+    of their smallest nodes need none.  No task holds a
     component: minima are partial aggregates and the joins are plain equi-joins that adaptive execution can split.
     """
     edges = cut_lineage(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = _mark(edges)
-    while mark[0]:
-        tasks = -(-mark[0] // TASK_LINKS)  # a round keeps at most two rows of each link
+    n, unsettled = _open(edges)
+    while unsettled:
+        tasks = -(-n // TASK_LINKS)  # a round keeps at most two rows of each link
         both = _ends(edges.coalesce(tasks), ("a", "b"), ("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
         large = both.join(least, both["a"] == least["n"]).filter("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -40,8 +44,6 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
         pointed = large.join(low, large["a"] == low["n"])
         edges = cut_lineage(_ends(pointed.coalesce(tasks), ("b", "m"), ("a", "m")).distinct().coalesce(tasks))
-        before, mark = mark, _mark(edges)
-        if before == mark:
-            break
+        n, unsettled = _open(edges)
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(roots)

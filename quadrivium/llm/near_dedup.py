@@ -363,6 +363,11 @@ def _homes(members: DataFrame, links: DataFrame) -> DataFrame:
     return cut_lineage(homes.join(homes.groupBy("component").agg(F.count("*").alias("size")), "component"))
 
 
+def _stars(homes: DataFrame) -> DataFrame:
+    """Links that make the components again."""
+    return homes.filter("rep != component").select(F.col("rep").alias("a"), F.col("component").alias("b"))
+
+
 def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """One row per document: ``id, n, group, component_id, text_digest``; ``group`` is null for an empty set or a null id."""
     spark = docs.sparkSession
@@ -380,14 +385,13 @@ def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
     first = Window.partitionBy("b").orderBy("a")  # a member has SYMBOLS keys at most
     pairs = met.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = pairs.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= CENTRES).drop("_k")
-    links = cut_lineage(_confirmed_pairs(pairs, sets, percent))
-    pairs = _lead_pairs(_spanning(met, _homes(members, links)))
-    links = cut_lineage(links.unionByName(_confirmed_pairs(pairs, sets, percent)))
-    homes = _homes(members, links)
+    homes = _homes(members, _confirmed_pairs(pairs, sets, percent))
+    pairs = _lead_pairs(_spanning(met, homes))
+    homes = _homes(members, _stars(homes).unionByName(_confirmed_pairs(pairs, sets, percent)))
     spanning = cut_lineage(_spanning(met, homes))
     asks = _near_top(spanning, homes, sets, percent).unionByName(_near_others(spanning, sets, percent)).distinct()
     more = _confirmed_blocks(cut_lineage(asks), homes, sets, percent)
-    groups = components(links.unionByName(more)).withColumnRenamed("node", "rep")
+    groups = components(_stars(homes).unionByName(more)).withColumnRenamed("node", "rep")
     found = reps.join(groups, "rep", "left").select("digest", "least", F.coalesce("component", "rep").alias("group"))
     lowest = found.groupBy("group").agg(F.min("least").alias("component_id"))
     found = cut_lineage(found.join(lowest, "group").select("digest", "group", "component_id"))

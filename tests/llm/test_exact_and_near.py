@@ -220,3 +220,18 @@ def test_members_of_one_key_meet_in_all_blocks(spark, monkeypatch):
     sets = {i: shingles(t, 1) for i, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert {r.doc_id: r.component_id for r in whole} == closed(links, sets)
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """Each round is planned, run and kept by the driver; settled links need none, a chain few."""
+    from quadrivium.llm import components as module
+
+    made, real = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: made.append(1) or real(df))
+    stars = [(5, 1), (7, 1), (7, 1), (9, 2), (2, 2), (None, 3)]
+    found = module.components(spark.createDataFrame(stars, "a long, b long"))
+    assert {tuple(r) for r in found.collect()} == {(1, 1), (5, 1), (7, 1), (2, 2), (9, 2)} and len(made) == 1
+    made.clear()
+    found = module.components(spark.createDataFrame([(k, k + 1) for k in range(9)], "a long, b long"))
+    assert {tuple(r) for r in found.collect()} == {(k, 0) for k in range(10)} and len(made) < 6
+    assert module.components(spark.createDataFrame([], "a long, b long")).count() == 0
