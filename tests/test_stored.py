@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quadrivium.operators import ordering, score, tables
 from quadrivium.plans import drift, quality, retrieval
+from quadrivium.session import CLEANUP, cut_lineage
 from quadrivium.sources import tables as sources
 
 
@@ -118,3 +121,24 @@ def test_chunks_make_the_whole_context(spark):
     for r in sorted(rows, key=lambda r: (r.query_id, r.position, r.chunk)):
         made[r.query_id] = made.get(r.query_id, "") + r.text
     assert made == whole and len(rows) > 60 and max(len(r.text) for r in rows) < 250
+
+
+def test_materialised_steps_leave_no_shuffle_files(spark):
+    """Else a chain of steps holds the shuffles of all of them until the driver happens to collect its garbage."""
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f.name for d in folders for f in Path(d).glob("*/shuffle_*")}
+    before = files()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    made = cut_lineage(df.join(df.groupBy("count").agg(F.max("k").alias("top")), "count").withColumn("top", F.col("top") + 1))
+    for _ in range(100):  # they are removed in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(CLEANUP, None) is None
+    assert {tuple(r) for r in made.collect()} == {(143, k, 6) for k in range(6)} | {(142, 6, 7)}
+    assert df.count() == 7  # what it was made from can be asked again
+    spark.conf.set(CLEANUP, "false")
+    try:
+        assert cut_lineage(df).count() == 7 and spark.conf.get(CLEANUP) == "false"
+    finally:
+        spark.conf.unset(CLEANUP)
