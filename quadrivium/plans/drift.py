@@ -125,7 +125,8 @@ def distance_drift(train: DataFrame, test: DataFrame, key: str, vector: str, **s
         right_vector="vector", right_payload="copies", **sizes,
     )
     n = distinct.agg(F.sum("copies").alias("n")).scalar()
-    limit = _mean_distance(distinct, **sizes).scalar()
+    # one number; made on its own, so that two folds do not hold what they move at once
+    limit = cut_lineage(_mean_distance(distinct, **sizes)).scalar()
     means = sums.select(F.col("left_id").alias("key"), (F.col("total") / n).alias("mean_distance"))
     missing = test.where(F.col(vector).isNull()).select(F.col(key).alias("key"), F.lit(None).cast("double").alias("mean_distance"))
     return means.unionByName(missing).withColumn("drifted", F.col("mean_distance") >= limit)

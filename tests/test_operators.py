@@ -117,6 +117,84 @@ def test_only_wanted_blocks_are_sent(spark):
     assert sent[720] < 3 * sent[360], "rows sent follow the rows, not their square"
 
 
+@pytest.mark.parametrize("make", [
+    lambda: pairs.Nearest(3), pairs.MinCosine, pairs.DistanceSum, lambda: pairs.NeighbourCount(0.6), lambda: pairs.LowestLabel(0.6), pairs.NearestLabel,
+])
+def test_blocks_that_ask_together_give_the_same_rows(spark, monkeypatch, make):
+    """Groups of left blocks and parts of right ones, by distances that rule some blocks out for some of a group."""
+    rng = np.random.default_rng(12)
+    points = np.concatenate([clustered(6, clusters=5, each=30, dim=4), rng.normal(size=(40, 4))])
+    frame = spark.createDataFrame([(i, [float(x) for x in v], i % 7) for i, v in enumerate(points)], "id long, v array<double>, w int").cache()
+
+    def rows(**size):
+        found = pairs.fold_pairs(frame, frame, make(), left_key="id", right_key="id", left_vector="v", right_vector="v", right_payload="w", **size)
+        return sorted(tuple(round(x, 5) if isinstance(x, float) else x for x in r) for r in found.collect())
+
+    one = rows()
+    monkeypatch.setattr(pairs, "TASKS_PER_CORE", 1)
+    monkeypatch.setattr(pairs, "GROUP_ASKS", 3)
+    assert rows(block=12) == one
+
+
+def test_rows_moved_follow_the_sides_of_a_grid(spark):
+    """All pairs of many blocks: before, each left block had every right row sent to it."""
+    points = np.random.default_rng(13).normal(size=(480, 4))
+    frame = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(points)], "id long, vector array<double>, payload int")
+    marks = blocks.chosen(frame, blocks.LANDMARKS)
+    left, index = blocks.placed(frame, 480, 10, marks, np.asarray)
+    per, most = pairs._grid(len(index), len(index), 10 * 4 * 8, 4)
+    groups, parts = -(-len(index) // per), -(-len(index) // most)
+    asks = pairs._asks(spark, pairs.DistanceSum(), index, index, groups, len(index), 1, per, most)
+    sent = pairs._meet(left, left, asks, groups, 1, parts, per)
+    assert sent.where("r_id is not null").count() == 480 * groups and sent.where("l_id is not null").count() == 480 * parts
+    assert groups + parts < len(index) / 3
+    assert all(pairs._grid(n, n, 8192 * 64 * 8, 24)[0] * 8192 * 64 * 8 <= pairs.GROUP_BYTES for n in (7, 74, 740, 7400)), "a task holds bounded bytes"
+
+
+def test_a_task_gives_one_link_a_row():
+    """Not one for each tile of left rows that a right row is near to."""
+    rng = np.random.default_rng(14)
+    a, b = (np.concatenate([rng.normal(c, 0.2, (400, 2)) for c in (0, 3, 9)]) for _ in range(2))
+    tiles, right = list(pairs.Block(np.arange(1200), a, np.ones(1200)).tiles(50)), pairs.Block(np.arange(1200) + 5000, b, np.ones(1200))
+    fold = pairs.Links(0.5)
+    state = fold.begin(tiles)
+    for other in right.tiles(300):
+        state = fold.meet(state, tiles, other, list(range(len(tiles))))
+    links = [x for rows, tops in fold.end(state, tiles) for x in zip(rows, tops)]
+    assert len(links) <= 2400 and len({r for r, _ in links}) == len(links)
+    near = distances(a, b) <= 0.5
+    parent = {x: x for x in [*range(1200), *range(5000, 6200)]}
+
+    def joined(pairs_of):
+        at = dict(parent)
+
+        def root(x):
+            while at[x] != x:
+                x = at[x]
+            return x
+
+        for one, other in pairs_of:
+            one, other = sorted((root(one), root(other)))
+            at[other] = one
+        return {x: root(x) for x in at}
+
+    assert joined(links) == joined((int(i), int(j) + 5000) for i, j in zip(*np.nonzero(near)))
+
+
+@pytest.mark.parametrize("scale", [1e-14, 1.0, 1e6, 1e14])
+def test_single_precision_changes_no_neighbour(scale):
+    rng = np.random.default_rng(15)
+    a, b = (rng.normal(size=(200, 8)) * scale for _ in range(2))
+    b[:100] = a[:100] + 1e-9 * scale * rng.normal(size=(100, 8))
+    gaps = distances(a, b)
+    left, right = pairs.Block(np.arange(200), a, np.ones(200)), pairs.Block(np.arange(200), b, np.ones(200))
+    for eps in (gaps[5, 5], gaps[3, 150], np.quantile(gaps, 0.3)):
+        assert (pairs.within(left, right, eps) == (gaps <= eps)).all()
+    fold = pairs.NearestLabel()
+    _, dist, ids, _ = fold.finish(fold.update(fold.start(left), left, right), left)
+    assert (ids == np.round(gaps, 12).argmin(1)).all() and np.allclose(dist.astype(float), gaps.min(1), rtol=1e-9, atol=1e-12)
+
+
 def test_rows_without_vectors_and_empty_sides(spark):
     frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "id long, v array<float>")
     some = {r["key"]: r["similarity"] for r in drift.min_similarity(frame, frame, "id", "v").collect()}
