@@ -347,6 +347,24 @@ def test_prefix_within(spark, limit):
     assert got == want
 
 
+def test_a_wide_join_copies_rows_along_a_grid(spark, monkeypatch):
+    """Rows of both sides are copied; before, each row of one side was copied to all slices of its key."""
+    many = spark.createDataFrame([("a", i) for i in range(400)] + [("b", 1), ("b", 1), (None, 5)], "k string, x int")
+    few = spark.createDataFrame([("a", i, None if i % 9 else "t") for i in range(300)] + [("a", 7, None)] * 2 + [("b", 2, "s"), (None, 1, "s")], "k string, y int, z string")
+    moved, kind = [], type(many)
+    repartition = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda self, *a: (moved.append(self.count()), repartition(self, *a))[1])
+    for weight in (1.0, 50.0):
+        moved.clear()
+        got = skew.wide_join(many, few, ["k"], ["x"], 100, weight)
+        want = many.join(few, "k")
+        assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+        if weight == 1:
+            assert len(moved) == 2 and sum(moved) < 20_000  # 120,800 rows in the result; 256 slices took 77,000
+        else:
+            assert moved[0] < 1300, "what is dear to copy is copied less"
+
+
 def test_latest_first_and_updates(spark):
     log = spark.createDataFrame([("s", "1", 5, None), ("s", "2", 5, "old"), ("t", "1", 1, "keep")], "session_id string, query_id string, timestamp int, feedback string")
     assert {(r["session_id"], r["query_id"]) for r in keyed.latest_per_key(log, ["session_id"], ["timestamp", "query_id"]).collect()} == {("s", "2"), ("t", "1")}
