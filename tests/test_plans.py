@@ -523,6 +523,29 @@ def test_whole_contexts_are_not_shuffled(spark, corpus, monkeypatch, held):
     assert {r["query_id"]: (list(r["crns"]), r["content"]) for r in found.collect()} == plain_contexts(*corpus, 5, False, None)
 
 
+@pytest.mark.parametrize("held", [None, 1500])
+def test_lists_are_sent_to_a_few_tasks(spark, corpus, monkeypatch, held):
+    """However long the contexts are: before, one slice for each ``LIST_BYTES`` of contexts had its lists sent to it."""
+    monkeypatch.setattr(retrieval, "TASK_BYTES", 1)
+    if held:
+        monkeypatch.setattr(retrieval, "LIST_BYTES", held)
+    asked = spark.createDataFrame([(q, [{"list": f"l{q % 3}"}], 40_000) for q in range(500)], "query_id int, _blocks array<struct<list:string>>, _bytes long")
+    weights = spark.createDataFrame([(f"l{k}", 1000) for k in range(3)], "_list string, _bytes long")
+    dealt, tasks = retrieval._sliced(asked, weights)
+    slices = [r["_slice"] for r in dealt.collect()]
+    assert tasks == 2 * spark.sparkContext.defaultParallelism and len(slices) == 500
+    assert 1 < len(set(slices)) <= tasks and set(slices) <= set(range(tasks))
+
+
+def test_texts_beyond_memory_wait_in_a_file():
+    held = retrieval._Bodies(5)
+    for name, body in [("a", b"one"), ("a", None), ("b", b"three"), ("a", b"xy"), ("c", None), ("b", b"")]:
+        held.add(name, body)
+    assert [held.of(x) for x in "abc"] == [[b"one", b"xy"], [b"three", b""], []]
+    held.add("c", b"later")
+    assert held.of("c") == [b"later"] and held.free == 0 and held.end == 10
+
+
 def test_answers_and_prompts_do_not_shuffle_contexts(spark, corpus):
     """Rows of the caller meet the hits, not the texts; repeated, null and unknown ids are those of a join."""
     frames = context_frames(spark, corpus)
@@ -541,6 +564,24 @@ def test_answers_and_prompts_do_not_shuffle_contexts(spark, corpus):
     assert Counter(r["response"] for r in answers.collect()) == Counter(f"Who? {content}" for _, content in want.values())
 
 
+def test_rows_do_not_wait_for_their_answers(spark, corpus):
+    """A row goes through Python with its context: beside a column function, rows wait on disk until Python sends its answers on."""
+    frames = context_frames(spark, corpus)
+    questions = frames[0].withColumn("query", F.concat(F.lit("Who "), F.col("query_id").cast("string"))).withColumn("my.tag", F.lit("t"))
+
+    def make():
+        return lambda prompts: np.array([None if "Who 2" in p else f"{len(prompts)} {len(p)}" for p in prompts], dtype=object)
+
+    answers = synthesis.answer_questions(questions, *frames[1:], make, "{query} {content}", k=5, dim=3, match_subject=True, batch_size=1)
+    assert "EvalPython" not in answers._jdf.queryExecution().executedPlan().toString()
+    assert answers.columns == ["question", "my.tag", "context", "response"]
+    want = plain_contexts(*corpus, 5, True, None)
+    assert sorted(map(tuple, answers.collect()), key=repr) == sorted(
+        ((f"Who {q}", "t", text, None if q == 2 else f"1 {len(f'Who {q} {text}')}") for q, (_, text) in want.items()), key=repr)
+    with pytest.raises(Exception, match="answers to"):
+        synthesis.answer_questions(questions, *frames[1:], lambda: (lambda p: p[:0]), "{query}", k=5, dim=3).collect()
+
+
 def test_whole_contexts_of_missing_contents(spark):
     """A hit without a content has courses but no text; equally near hits share a list."""
     hits = spark.createDataFrame(
